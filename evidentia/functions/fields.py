@@ -40,7 +40,7 @@ def clean_name(c: Column) -> Column:
     joined = F.array_join(name_words(c), " ")
     tails = "|".join(fixed.NAME_TAILS)
     joined = F.regexp_replace(joined, r"(?i)\Ais (?=\S+ \S)", "")
-    joined = F.regexp_replace(joined, rf"(?i)\A(\S+ \S+(?: \S+)*) (?:{tails})\z", "$1")
+    joined = F.regexp_replace(joined, rf"(?i)\A(\S+ \S.*) (?:{tails})\z", "$1")
     name = F.initcap(F.regexp_extract(joined, r"\A\S+(?: \S+){1,3}", 0))
     return F.when(anchor_text(c).isin(*non_name_labels()), EMPTY).otherwise(name)
 

@@ -9,9 +9,10 @@ SQL starts from the very same derivation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from evidentia import policy as fixed
+from evidentia.session import spread
 
 
 def _pick(options, position: str) -> str:
@@ -49,11 +50,40 @@ from {{orders}} join {{customer}} on o_custkey = c_custkey
 """
 
 
-def _page(page: int, reading: int, channel: str, where: str, text: str) -> str:
-    return (
-        f"select case_id, cast({page} as int) as page, cast({reading} as int) as reading_no, "
-        f"'{channel}' as channel, {text} as text from cases where {where}"
-    )
+class Rows:
+    """Several rows per case: each arm a condition and a value per column.
+
+    The checking SQL reads them as a UNION ALL; Spark computes each case once
+    and explodes its rows, so that the tables are scanned and joined once.
+    """
+
+    def __init__(self, *arms: tuple[str, dict[str, str]]) -> None:
+        self.arms = arms
+
+    @property
+    def sql(self) -> str:
+        selects = [
+            f"select case_id, {', '.join(f'{v} as {n}' for n, v in values.items())} from cases where {where}"
+            for where, values in self.arms
+        ]
+        return f"with cases as ({CASES}) " + " union all ".join(selects)
+
+    def frame(self, cases: DataFrame) -> DataFrame:
+        rows = [
+            F.when(F.expr(where), F.struct(*[F.expr(v).alias(n) for n, v in values.items()]))
+            for where, values in self.arms
+        ]
+        exploded = cases.select("case_id", F.explode_outer(F.array(*rows)).alias("r"))
+        return exploded.filter(F.col("r").isNotNull()).select("case_id", "r.*")
+
+
+def _page(page: int, reading: int, channel: str, where: str, text: str) -> tuple[str, dict[str, str]]:
+    return where, {
+        "page": f"cast({page} as int)",
+        "reading_no": f"cast({reading} as int)",
+        "channel": f"'{channel}'",
+        "text": text,
+    }
 
 
 _NL = " || chr(10) || "
@@ -147,7 +177,7 @@ _REGISTRY = _NL.join(
     ]
 )
 
-_PAGES = [
+READINGS = Rows(
     _page(1, 0, "native", "k % 41 <> 40", _INTAKE),
     _page(1, 1, "native", "k % 4 = 0 and k % 41 <> 40", _INTAKE),
     _page(1, 1, "native", "k % 4 <> 0", _INTAKE_SPARSE),
@@ -158,9 +188,7 @@ _PAGES = [
     _page(4, 0, "native", "k % 3 = 0", _SPONSOR),
     _page(5, 0, "native", "k % 8 = 1", _NOTE),
     _page(6, 0, "native", "k % 5 = 3", _REGISTRY),
-]
-
-READINGS = "with cases as (" + CASES + ") " + " union all ".join(_PAGES)
+)
 
 #: Truth, predictions and baseline with a decision; group per case.
 _DECISION = (
@@ -217,65 +245,100 @@ _BASELINE = {
 }
 BASELINE = "with cases as (" + CASES + ") select case_id, " + _record("cases", _BASELINE) + " from cases where k % 13 <> 12"
 
-#: Crop readings: two crops per case and field, the second crop read twice.
-_CROPS = [
-    (
-        "sponsor_id",
-        "select case_id, 'sponsor_id' as field, 'Sponsor ' || case when k % 6 = {i} then 'SPN-1111' "
-        "when k % 7 = {i} then '' else sponsor end as raw_text, 4 as page, {i} as crop_no, 'label_value_roi' as reader_family, "
-        "'{chain}' as chain, cast(80 + (k + {i}) % 20 as double) as ocr_quality, "
-        "case when k % 5 = {i} then 0.9 else 1.0 end as anchor_quality, cast({i} as bigint) as seq from cases where {where}",
-    ),
+_SPONSOR_CROP = "'Sponsor ' || case when k % 6 = {i} then 'SPN-1111' when k % 7 = {i} then '' else sponsor end"
+_FEE_CROP = "'Fee Receipt ' || case when k % 8 = {i} then 'waived' else fee end"
+_READS = ((1, "crop+native", "k % 3 <> 2"), (2, "crop+native", "k % 4 <> 3"), (3, "crop+rescale_2x", "k % 7 = 2"))
+
+
+def _crop(field: str, text: str, page: int, family: str, ocr: str, anchor: str, i: int, chain: str, where: str):
+    return where, {
+        "field": f"'{field}'",
+        "raw_text": text.format(i=i),
+        "page": f"cast({page} as int)",
+        "crop_no": f"cast({i} as int)",
+        "reader_family": f"'{family}'",
+        "chain": f"'{chain}'",
+        "ocr_quality": f"cast({ocr.format(i=i)} as double)",
+        "anchor_quality": f"cast({anchor.format(i=i)} as double)",
+        "seq": f"cast({i} as bigint)",
+    }
+
+
+#: Crop readings of a sponsor region and of the fee band.
+CROPS = Rows(
+    *[
+        _crop("sponsor_id", _SPONSOR_CROP, 4, "label_value_roi", "80 + (k + {i}) % 20", "case when k % 5 = {i} then 0.9 else 1.0 end", *read)
+        for read in _READS
+    ],
+    *[
+        _crop("fee_status", _FEE_CROP, 2, "top_left_fee_band", "70 + (k * 3 + {i}) % 30", "1.0", *read)
+        for read in _READS
+    ],
+)
+
+
+def _word(line: int, column: int, text: str, confidence: str, left: int) -> tuple[str, dict[str, str]]:
+    return "true", {
+        "page": "cast(1 as int)",
+        "text": text,
+        "confidence": f"cast({confidence} as double)",
+        "left": f"cast({left} + k % 7 as int)",
+        "top": f"cast({line * 30} + k % 3 as int)",
+        "width": f"cast(case when k % 37 = 5 and {column} = 2 then 0 else 40 end as int)",
+        "height": "cast(12 as int)",
+        "block": f"cast({1 + line // 2} as int)",
+        "paragraph": "cast(1 as int)",
+        "line": f"cast({line} as int)",
+    }
+
+
+_WORD_LINES = (
+    ("'Species'", "'Code'", "species"),
     (
-        "fee_status",
-        "select case_id, 'fee_status' as field, 'Fee Receipt ' || case when k % 8 = {i} then 'waived' else fee end as raw_text, "
-        "2 as page, {i} as crop_no, 'top_left_fee_band' as reader_family, '{chain}' as chain, "
-        "cast(70 + (k * 3 + {i}) % 30 as double) as ocr_quality, 1.0 as anchor_quality, cast({i} as bigint) as seq from cases where {where}",
+        "case when k % 3 = 0 then 'Fee' else 'Foe' end",
+        "case when k % 4 = 0 then 'Statu5' else 'Status' end",
+        "fee",
     ),
-]
-CROPS = "with cases as (" + CASES + ") " + " union all ".join(
-    template.format(i=i, chain=chain, where=where)
-    for _, template in _CROPS
-    for i, chain, where in (
-        (1, "crop+native", "k % 3 <> 2"),
-        (2, "crop+native", "k % 4 <> 3"),
-        (3, "crop+rescale_2x", "k % 7 = 2"),
-    )
+    ("'Sponsor'", "case when k % 2 = 0 then 'ID' else '' end", "sponsor"),
+    ("'Home'", "'World'", "world"),
+)
+_WORD_COLUMNS = (
+    (20, "90 - k % 13"),
+    (70, "case when k % 29 = 1 then -1 else 70 + k % 21 end"),
+    (130, "88"),
 )
 
-#: Word boxes of a page: five words per line, four lines per case.
-WORDS = "with cases as (" + CASES + ") " + " union all ".join(
-    f"select case_id, cast(1 as int) as page, {word} as text, cast({conf} as double) as confidence, "
-    f"cast({left} + k % 7 as int) as left_edge, cast({line * 30} + k % 3 as int) as top_edge, "
-    f"cast(case when k % 37 = 5 and {column} = 2 then 0 else 40 end as int) as width, cast(12 as int) as height, "
-    f"cast({1 + line // 2} as int) as block, cast(1 as int) as paragraph, cast({line} as int) as line from cases"
-    for line, words in enumerate(
-        [
-            ("'Species'", "'Code'", "species"),
-            ("case when k % 3 = 0 then 'Fee' else 'Foe' end", "case when k % 4 = 0 then 'Statu5' else 'Status' end", "fee"),
-            ("'Sponsor'", "case when k % 2 = 0 then 'ID' else '' end", "sponsor"),
-            ("'Home'", "'World'", "world"),
-        ]
-    )
-    for column, (word, conf, left) in enumerate(
-        zip(words, ("90 - k % 13", "case when k % 29 = 1 then -1 else 70 + k % 21 end", "88"), (70, 20, 130))
-    )
+#: Word boxes of a page: four label-and-value lines.
+WORDS = Rows(
+    *[
+        _word(line, column, text, confidence, left)
+        for line, words in enumerate(_WORD_LINES)
+        for column, (text, (left, confidence)) in enumerate(zip(words, _WORD_COLUMNS))
+    ]
 )
 
 
-def bind(spark: SparkSession, folder: str, sql: str) -> DataFrame:
-    tables = {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in ("orders", "customer") if f"{{{n}}}" in sql}
-    return spark.sql(sql, **tables)
+def bind(spark: SparkSession, folder: str, source: str | Rows) -> DataFrame:
+    tables = {n: table(spark, folder, n) for n in ("orders", "customer")}
+    if isinstance(source, Rows):
+        return source.frame(spread(spark.sql(CASES, **tables), "case_id"))
+    return spark.sql(source, **tables)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents, spread over the cores for the text-heavy plans."""
+    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+
+
 def readings(spark: SparkSession, folder: str) -> DataFrame:
     return bind(spark, folder, READINGS)
 
 
-def cte(name: str, sql: str) -> str:
+def cte(name: str, sql: str | Rows) -> str:
     """The derivation as a named query of the checking SQL."""
-    return f"{name} as ({sql.format(orders='orders', customer='customer')})"
+    text = sql.sql if isinstance(sql, Rows) else sql
+    return f"{name} as ({text.format(orders='orders', customer='customer')})"
