@@ -166,21 +166,22 @@ def best_window(floor: float = 0.0):
     return score
 
 
-def like_label(target: str, floor: float):
-    """UDF: which elements of an array are at least ``floor`` similar to ``target``."""
+def first_word_like(target: str, floor: float):
+    """UDF: which elements of an array start with a word near ``target``."""
 
     @F.pandas_udf(T.ArrayType(T.BooleanType()))
     def hits(groups: pd.Series) -> pd.Series:
         ratio = make_ratio()
         seen: dict[str, bool] = {}
 
-        def one(group):
-            for word in group:
-                if word not in seen:
-                    seen[word] = ratio(word, target, floor) >= floor
-            return [seen[word] for word in group]
+        def near(word: str) -> bool:
+            if word not in seen:
+                seen[word] = ratio(word, target, floor) >= floor
+            return seen[word]
 
-        return groups.map(one, na_action="ignore")
+        return groups.map(
+            lambda group: [near(span.split(" ", 1)[0].lower()) for span in group], na_action="ignore"
+        )
 
     return hits
 

@@ -200,24 +200,22 @@ def approximate_applicants(readings: DataFrame, text: Column, policy: Policy = D
     words = F.regexp_replace(
         F.regexp_replace(text, tx.LINE_BREAK, "\n"), "[^A-Za-z'\n-]+", " "
     )
-    pattern = F.lit(
-        r"(?<![A-Za-z'-])(?=([A-Za-z'-]{5,12}) (?i:name )?+([A-Za-z'-]+ [A-Za-z'-]+))"
-    )
-    labels = F.lower(F.array_join(F.regexp_extract_all(words, pattern, F.lit(1)), " "))
-    like = similarity.like_label("applicant", policy.label_score)
-    staged = readings.withColumns(
-        {
-            "label_words": F.when(labels != "", F.split(labels, " ")),
-            "label_values": F.regexp_extract_all(words, pattern, F.lit(2)),
-        }
-    )
+    # A word can be that similar only if at most three of its letters are not
+    # letters of the label (matched letters must occur in both).
+    near = "(?=(?i:[aplicnt]*+(?:[a-z'-][aplicnt]*+){0,3}) )"
+    span = r"[A-Za-z'-]{5,12}(?: (?i:name))?+ [A-Za-z'-]+ [A-Za-z'-]+"
+    spans = F.regexp_extract_all(words, F.lit(rf"(?<![A-Za-z'-]){near}(?=({span}))"), F.lit(1))
+    like = similarity.first_word_like("applicant", policy.label_score)
+    staged = readings.withColumn("spans", spans)
     names = F.zip_with(
-        F.col("label_values"),
-        F.coalesce(like(F.col("label_words")), F.array().cast("array<boolean>")),
-        lambda value, hit: F.when(hit, fn.clean_name(value)).otherwise(EMPTY),
+        F.col("spans"),
+        F.coalesce(
+            like(F.when(F.size("spans") > 0, F.col("spans"))), F.array().cast("array<boolean>")
+        ),
+        lambda s, hit: F.when(hit, fn.clean_name(F.substring_index(s, " ", -2))).otherwise(EMPTY),
     )
     found = F.array_distinct(F.filter(names, lambda n: n != ""))
-    return staged.withColumn("approximate", found).drop("label_words", "label_values")
+    return staged.withColumn("approximate", found).drop("spans")
 
 
 def category_hits(text: Column, kind: Column, policy: Policy = DEFAULT) -> dict[str, Column]:
@@ -263,26 +261,41 @@ def name_pairs(text: Column) -> tuple[Column, Column]:
 # -- one reading to typed evidence ----------------------------------------
 
 
+# label pattern, and a literal every match contains once folded
 _LABELS = {
-    "applicant_name": "Applicant Name",
-    "applicant": "Applicant",
-    "registry_name": "Registry Name",
-    "species": "Species(?: Code)?",
-    "home_world": "Home World",
-    "sponsor_id": "Sponsor ID",
-    "sponsor": "Sponsor",
-    "arrival_date": "Arrival Date",
-    "declared_purpose": "Declared Purpose",
-    "purpose": "Purpose",
-    "fee_status": "Fee Status",
-    "observed_flags": "Observed Flags",
-    "risk_flags": "Risk Flags",
-    "flag": "(?:Risk )?Flag",
-    "registry_status": "Registry Status",
-    "finding": "Finding",
+    "applicant_name": ("Applicant Name", "applicant name"),
+    "applicant": ("Applicant", "applicant"),
+    "registry_name": ("Registry Name", "registry name"),
+    "species": ("Species(?: Code)?", "species"),
+    "home_world": ("Home World", "home world"),
+    "sponsor_id": ("Sponsor ID", "sponsor id"),
+    "sponsor": ("Sponsor", "sponsor"),
+    "arrival_date": ("Arrival Date", "arrival date"),
+    "declared_purpose": ("Declared Purpose", "declared purpose"),
+    "purpose": ("Purpose", "purpose"),
+    "fee_status": ("Fee Status", "fee status"),
+    "observed_flags": ("Observed Flags", "observed flags"),
+    "risk_flags": ("Risk Flags", "risk flags"),
+    "flag": ("(?:Risk )?Flag", "flag"),
+    "registry_status": ("Registry Status", "registry status"),
+    "finding": ("Finding", "finding"),
 }
 
 
+def having(literal: str, value: Column, otherwise: Column = EMPTY) -> Column:
+    """``value`` only where the folded text (or its rows) contains the literal.
+
+    A byte search is far cheaper than a case-insensitive pattern, and most
+    texts contain few of the labels.
+    """
+    present = F.contains(F.col("folded"), F.lit(literal))
+    if " " in literal:
+        # the words of a label may be separated by other spaces in the text
+        # than in its normalised rows
+        present = present | F.contains(F.col("folded_rows"), F.lit(literal))
+    return F.when(present, value).otherwise(otherwise)
+
+
 def read_labels(readings: DataFrame, policy: Policy = DEFAULT, fuzzy: bool = True) -> DataFrame:
     """Adds ``found``: the typed evidence of a reading in emission order.
 
@@ -290,11 +303,16 @@ def read_labels(readings: DataFrame, policy: Policy = DEFAULT, fuzzy: bool = Tru
     next one refers to more than once, which keeps expressions small.
     """
     text, kind = F.col("text"), F.col("kind")
-    page = readings.withColumns({"rows": tx.rows_text(text), "kind": page_kind(text)})
+    page = readings.withColumns(
+        {"rows": tx.rows_text(text), "kind": page_kind(text), "folded": tx.casefold(text)}
+    ).withColumn("folded_rows", tx.casefold(F.col("rows")))
     page = page.withColumns(
         {
             "row_array": F.split("rows", "\n"),
-            **{f"label_{n}": tx.extract_label(text, F.col("rows"), p) for n, p in _LABELS.items()},
+            **{
+                f"label_{n}": having(literal, tx.extract_label(text, F.col("rows"), pattern))
+                for n, (pattern, literal) in _LABELS.items()
+            },
         }
     )
     label, row_array = {n: F.col(f"label_{n}") for n in _LABELS}, F.col("row_array")
@@ -327,15 +345,15 @@ def read_labels(readings: DataFrame, policy: Policy = DEFAULT, fuzzy: bool = Tru
     name = tx.first_nonempty(
         fn.clean_name(label["applicant_name"]),
         fn.clean_name(label["applicant"]),
-        tx.value_before_label(row_array, "Applicant Name", fn.clean_name),
-        tx.value_before_label(row_array, "Applicant", fn.clean_name),
+        having("applicant name", tx.value_before_label(row_array, "Applicant Name", fn.clean_name)),
+        having("applicant", tx.value_before_label(row_array, "Applicant", fn.clean_name)),
         fn.clean_name(label["registry_name"]),
     )
     sponsor = tx.first_nonempty(
         fn.clean_sponsor(label["sponsor_id"]),
         fn.clean_sponsor(label["sponsor"]),
-        tx.value_before_label(row_array, "Sponsor ID", fn.clean_sponsor),
-        tx.value_before_label(row_array, "Sponsor", fn.clean_sponsor),
+        having("sponsor id", tx.value_before_label(row_array, "Sponsor ID", fn.clean_sponsor)),
+        having("sponsor", tx.value_before_label(row_array, "Sponsor", fn.clean_sponsor)),
         F.when(kind == "sponsor", fn.clean_sponsor(text)),
     )
     embargo = (kind == "registry") & label["registry_status"].rlike(r"(?iU)\bembargo\b")
@@ -369,7 +387,7 @@ def read_labels(readings: DataFrame, policy: Policy = DEFAULT, fuzzy: bool = Tru
     return page.withColumns(
         {"found": _facts([(f"field:{n}", v) for n, v in emitted]), "noted": read["noted"]}
     ).drop(
-        "rows", "row_array", "flag_text", "note_text", "flags", "note_flags",
+        "rows", "folded_rows", "row_array", "flag_text", "note_text", "flags", "note_flags",
         *[f"label_{n}" for n in _LABELS], *[f"read_{n}" for n in pairs],
     )
 
@@ -435,12 +453,12 @@ def facts(
     page = read_labels(readings, policy, fuzzy)
     page = page.withColumns(
         {
-            **{f"attested_{n}": v for n, v in attestation(text, policy).items()},
-            **{f"corrected_{n}": v for n, v in manual_corrections(text).items()},
+            **{f"attested_{n}": having("attests", v) for n, v in attestation(text, policy).items()},
+            **{f"corrected_{n}": having("manual", v) for n, v in manual_corrections(text).items()},
             "fee": fn.anchored_fee(text, policy, fuzzy),
             "adverse": adverse_flags(text, policy),
             **{f"hits_{n}": v for n, v in category_hits(text, kind, policy).items()},
-            "manual": manual_finding(text),
+            "manual": having("finding", manual_finding(text)),
             "calm": clean_biometrics(text),
         }
     )
@@ -487,7 +505,7 @@ def facts(
     ]
     listed.append(_facts_of_array("iso_date", fn.iso_dates(text, policy)))
     listed.append(
-        _facts_of_array("damaged_date", F.when(native, fn.damaged_dates(text, policy)).otherwise(nothing))
+        _facts_of_array("damaged_date", F.when(native, having(str(policy.receipt_date.year).replace("6", "8"), fn.damaged_dates(text, policy), nothing)).otherwise(nothing))
     )
     listed.append(
         _facts_of_array(
@@ -495,7 +513,7 @@ def facts(
             F.when(
                 native,
                 F.filter(
-                    fn.repaired_sponsors(text),
+                    having("spn", fn.repaired_sponsors(text), nothing),
                     lambda s: s != fixed.SENTINELS["sponsor_id"],
                 ),
             ).otherwise(nothing),
