@@ -1,3 +1,281 @@
+"""N-gram features, scoring and fitting over whole documents."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from evidentia.operators import learn, textmodel as tm
+from evidentia.plans import bindings as src, sqltext as q
 from evidentia.plans.catalog import Catalog
+from evidentia.session import durable
 
 catalog = Catalog()
+MIN_DF, MAX_FEATURES = 4, 8000
+
+GRAMS = (
+    f"with w as (select doc_id, unnest(string_split({q.mask('text')}, ' ')) as word from documents), "
+    "p as (select doc_id, ' ' || word || ' ' as p from w where word <> ''), "
+    "g as (select doc_id, unnest(flatten(list_transform(range(3, 6), lambda n: case when length(p) >= n then "
+    "list_transform(range(1, length(p) - n + 2), lambda i: substring(p, i, n)) else [] end))) as token from p), "
+    "tf as materialized (select doc_id, token, count(*) as tf from g group by all)"
+)
+VOCAB = (
+    GRAMS + f", v as materialized (select token, count(*) as df, sum(tf)::bigint as cf, "
+    f"ln((1.0 + (select count(*) from documents)) / (1.0 + count(*))) + 1.0 as idf from tf group by token having count(*) >= {MIN_DF} "
+    f"order by cf desc, token limit {MAX_FEATURES})"
+)
+
+
+def counts(spark, folder):
+    return tm.term_counts(src.texts(spark, folder), ["doc_id"])
+
+
+def vocabulary(spark, folder, tf):
+    return tm.vocabulary(tf, src.table(spark, folder, "documents").count(), MIN_DF, MAX_FEATURES)
+
+
+@catalog.add(
+    "char_ngrams",
+    GRAMS + " select doc_id, sum(tf)::bigint as grams, count(*) as distinct_grams from tf group by doc_id",
+)
+def char_ngrams(spark, folder):
+    return (
+        counts(spark, folder)
+        .groupBy("doc_id")
+        .agg(F.sum("tf").alias("grams"), F.count(F.lit(1)).alias("distinct_grams"))
+    )
+
+
+@catalog.add("doc_freq_vocab", VOCAB + " select token, df, cf, round(idf, 6) as idf from v")
+def doc_freq_vocab(spark, folder):
+    return vocabulary(spark, folder, counts(spark, folder)).withColumn("idf", F.round("idf", 6))
+
+
+_RAW = VOCAB + (
+    ", r as (select doc_id, token, (1.0 + ln(tf)) * idf as raw from tf join v using (token)), "
+    "n as (select doc_id, sqrt(sum(raw * raw)) as norm from r group by doc_id)"
+)
+
+
+@catalog.add(
+    "tfidf_l2",
+    _RAW + " select doc_id, count(*) as tokens, round(sum(raw / norm), 4) as total, round(max(raw / norm), 6) as largest "
+    "from r join n using (doc_id) group by doc_id",
+)
+def tfidf_l2(spark, folder):
+    tf = durable(counts(spark, folder))
+    weights = tm.tfidf(tf, vocabulary(spark, folder, tf), ["doc_id"])
+    return weights.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("tokens"),
+        F.round(F.sum("weight"), 4).alias("total"),
+        F.round(F.max("weight"), 6).alias("largest"),
+    )
+
+
+# Weights that both engines can derive: the share of a class's texts that
+# contain the token, less the share overall.
+_SHARES = VOCAB + (
+    ", c as (select doc_id, lang as class from documents), "
+    "k as (select class, count(*) as n from c group by class), "
+    "s as materialized (select token, class, count(*) as d from tf join c using (doc_id) join v using (token) group by all), "
+    "wt as materialized (select v.token, v.idf, k.class, 10.0 * (coalesce(s.d, 0) / k.n - v.df / (select count(*) from documents)) as coef "
+    "from v cross join k left join s on s.token = v.token and s.class = k.class), "
+    "x as (select doc_id, token, (1.0 + ln(tf)) * idf as val from tf join v using (token)), "
+    "nn as (select doc_id, sqrt(sum(val * val)) as norm from x group by doc_id), "
+    "dot as (select x.doc_id, wt.class, sum(val * coef) as dot from x join wt using (token) group by all), "
+    "sc as (select d.doc_id, k.class, 1.0 / (1.0 + exp(-greatest(-40.0, least(40.0, coalesce(dot.dot / nn.norm, 0.0) - 0.5)))) as p "
+    "from documents d cross join k left join dot on dot.doc_id = d.doc_id and dot.class = k.class left join nn on nn.doc_id = d.doc_id)"
+)
+
+
+def share_model(spark, folder, **header):
+    """Weight table with one coefficient per language, from document counts."""
+    tf = durable(counts(spark, folder))
+    documents = src.table(spark, folder, "documents").select("doc_id", "lang")
+    sizes = {r["lang"]: r["count"] for r in documents.groupBy("lang").count().collect()}
+    classes, total = tuple(sorted(sizes)), sum(sizes.values())
+    vocab = vocabulary(spark, folder, tf)
+    per_class = tf.join(documents, "doc_id").groupBy("token").agg(
+        *[F.count_if(F.col("lang") == c).alias(f"d_{i}") for i, c in enumerate(classes)]
+    )
+    coefs = F.array(
+        *[
+            10.0 * (F.col(f"d_{i}") / F.lit(sizes[c]) - F.col("df") / F.lit(total))
+            for i, c in enumerate(classes)
+        ]
+    )
+    weights = vocab.join(per_class, "token").select("token", "idf", coefs.alias("coefs"))
+    return tm.Model(
+        weights=durable(weights),
+        intercepts=tuple(-0.5 for _ in classes),
+        max_features=MAX_FEATURES,
+        classes=classes,
+        **header,
+    )
+
+
+def _binary(model: tm.Model, index: int) -> tm.Model:
+    one = F.array(F.get("coefs", F.lit(index)))
+    return tm.Model(
+        weights=model.weights.withColumn("coefs", one),
+        intercepts=(model.intercepts[index],),
+        max_features=model.max_features,
+    )
+
+
+@catalog.add("score_binary", _SHARES + " select doc_id, round(p, 6) as probability from sc where class = (select min(class) from k)")
+def score_binary(spark, folder):
+    model = _binary(share_model(spark, folder), 0)
+    scores = tm.raw_scores(src.texts(spark, folder), ["doc_id"], {"m": model})
+    return scores.select("doc_id", F.round(tm.binary_probability(F.col("m")), 6).alias("probability"))
+
+
+@catalog.add(
+    "score_multiclass_margin",
+    _SHARES + ", t as (select doc_id, class, p / sum(p) over (partition by doc_id) as p from sc), "
+    "r as (select *, row_number() over (partition by doc_id order by p desc, class desc) as r from t) "
+    "select a.doc_id, a.class as value, round(a.p, 6) as probability, round(a.p - b.p, 6) as margin from r a join r b on a.doc_id = b.doc_id and a.r = 1 and b.r = 2",
+)
+def score_multiclass_margin(spark, folder):
+    model = share_model(spark, folder, minimum_probability=0.3, minimum_margin=0.05)
+    scores = tm.raw_scores(src.texts(spark, folder), ["doc_id"], {"m": model})
+    best = scores.select("doc_id", tm.multiclass(F.col("m"), model).alias("b"))
+    return best.select(
+        "doc_id",
+        "b.value",
+        F.round("b.probability", 6).alias("probability"),
+        F.round("b.margin", 6).alias("margin"),
+    )
+
+
+@catalog.add(
+    "score_multilabel",
+    _SHARES + " select d.doc_id, coalesce(string_agg(class, '|' order by class) filter (where p >= 0.45), '') as labels "
+    "from documents d left join sc using (doc_id) group by d.doc_id",
+)
+def score_multilabel(spark, folder):
+    model = share_model(spark, folder)
+    model = tm.Model(
+        weights=model.weights,
+        intercepts=model.intercepts,
+        max_features=model.max_features,
+        classes=model.classes,
+        thresholds={c: 0.45 for c in model.classes},
+    )
+    scores = tm.raw_scores(src.texts(spark, folder), ["doc_id"], {"m": model})
+    return scores.select("doc_id", tm.multilabel(F.col("m"), model).alias("labels"))
+
+
+# -- fitting ---------------------------------------------------------------
+
+
+def labelled(spark, folder):
+    labels = src.table(spark, folder, "labels")
+    return labels.join(src.table(spark, folder, "documents").select("doc_id", "lang"), "doc_id")
+
+
+def training(spark, folder, max_features=4000):
+    """(counts, vocabulary with positions, vectors) of the labelled documents."""
+    rows = labelled(spark, folder)
+    texts = src.texts(spark, folder).join(rows.select("doc_id"), "doc_id", "left_semi")
+    tf = durable(tm.term_counts(texts, ["doc_id"]))
+    vocab = durable(learn.indexed(tm.vocabulary(tf, rows.count(), MIN_DF, max_features)))
+    return tf, vocab, learn.vectors(tf, vocab, "doc_id", vocab.count()).persist()
+
+
+def _fitted(spark, folder):
+    tf, vocab, features = training(spark, folder)
+    rows = labelled(spark, folder).withColumn("label", F.col("quality").cast("double")).join(features, "doc_id")
+    return vocab, rows, learn.fit_binary(rows, "label", 2.0)
+
+
+@catalog.add("fit_binary")
+def fit_binary(spark, folder):
+    vocab, _, model = _fitted(spark, folder)
+    weights = learn.export([model], vocab, (), 4000).weights
+    return weights.select("token", F.round("idf", 6).alias("idf"), F.round(F.col("coefs")[0], 4).alias("coef"))
+
+
+@catalog.add(
+    "export_equivalence",
+    "select true as equivalent, count(*) as compared from labels join documents using (doc_id)",
+)
+def export_equivalence(spark, folder):
+    vocab, rows, model = _fitted(spark, folder)
+    exported = learn.export([model], vocab, (), 4000)
+    expected = learn.probability(model, rows, "p").select("doc_id", "p")
+    texts = src.texts(spark, folder).join(rows.select("doc_id"), "doc_id", "left_semi")
+    observed = tm.raw_scores(texts, ["doc_id"], {"m": exported}).select(
+        "doc_id", tm.binary_probability(F.col("m")).alias("p")
+    )
+    return tm.export_error(expected, observed, ["doc_id"], "p").select(
+        (F.col("maximum_error") <= 1e-10).alias("equivalent"), "compared"
+    )
+
+
+@catalog.add("fit_multiclass_ovr")
+def fit_multiclass_ovr(spark, folder):
+    _, vocab, features = training(spark, folder)
+    rows = labelled(spark, folder).join(features, "doc_id")
+    classes = tuple(sorted(r["lang"] for r in rows.select("lang").distinct().collect()))
+    models = [
+        learn.fit_binary(rows.withColumn("label", (F.col("lang") == c).cast("double")), "label", 0.5)
+        for c in classes
+    ]
+    exported = learn.export(models, vocab, classes, 4000, minimum_probability=0.08, minimum_margin=0.0)
+    scores = tm.raw_scores(src.texts(spark, folder), ["doc_id"], {"m": exported})
+    best = scores.select("doc_id", tm.multiclass(F.col("m"), exported).alias("b"))
+    return best.select("doc_id", "b.value", F.round("b.probability", 4).alias("probability"), "b.accepted")
+
+
+def _oof(spark, folder):
+    rows = labelled(spark, folder).select("doc_id", "quality", "toxic")
+    texts = src.texts(spark, folder).join(rows.select("doc_id"), "doc_id", "left_semi")
+    tf = durable(tm.term_counts(texts, ["doc_id"]))
+    targets = {"good": (F.col("quality") == 1, 8.0), "bad": (F.col("toxic") == 1, 2.0)}
+    return learn.out_of_fold(tf, rows, "doc_id", targets, 3, 4000, "quality")
+
+
+@catalog.add("oof_probabilities")
+def oof_probabilities(spark, folder):
+    return _oof(spark, folder).select(
+        "doc_id", "fold", F.round("good", 4).alias("good"), F.round("bad", 4).alias("bad")
+    )
+
+
+@catalog.add("complement_nb")
+def complement_nb(spark, folder):
+    _, _, features = training(spark, folder)
+    rows = labelled(spark, folder).withColumn("label", F.col("quality").cast("double")).join(features, "doc_id")
+    model = learn.complement_bayes(rows, "label")
+    scored = learn.probability(model, rows, "p")
+    return scored.select("doc_id", F.round("p", 4).alias("probability"))
+
+
+@catalog.add("meta_router")
+def meta_router(spark, folder):
+    scores = durable(_oof(spark, folder))
+    rows = VectorAssembler(inputCols=["good", "bad"], outputCol="features").transform(
+        scores.withColumn("label", F.col("quality").cast("double"))
+    )
+    model = learn.meta_router(rows, "label", minimum_leaf=10, trees=50)
+    return learn.probability(model, rows, "p").select("doc_id", F.round("p", 4).alias("probability"))
+
+
+@catalog.add("correctness_calibrator")
+def correctness_calibrator(spark, folder):
+    """Brier score of out-of-fold correctness probabilities, per penalty."""
+    from evidentia import policy as fixed
+    from evidentia.plans.catalog.evaluate import pairs
+
+    rows = pairs(spark, folder)
+    metadata = learn.metadata_tokens({f: F.col(f) for f in (*fixed.FIELDS, "adjudication")})
+    texts = rows.select("case_id", metadata.alias("text"))
+    tf = durable(tm.term_counts(texts, ["case_id"]))
+    labels = rows.select("case_id", F.col("same_adjudication").alias("right"))
+    targets = {f"c_{n}": (F.col("right"), c) for n, c in (("low", 0.1), ("mid", 0.5), ("high", 8.0))}
+    scored = learn.out_of_fold(tf, labels, "case_id", targets, 3, 12000, "right")
+    error = {n: F.avg((F.col(n) - F.col("right").cast("double")) ** 2) for n in targets}
+    row = scored.agg(*[F.round(e, 4).alias(n) for n, e in error.items()])
+    return row.unpivot([], list(targets), "penalty", "brier")
