@@ -184,3 +184,24 @@ def evidence(source: str = "readings") -> str:
         f"labelled as materialized (select *, {', '.join(f'{lab(p)} as {n}' for n, p in labels.items())} from rowed), "
         f"evidence as materialized (select * from ({arms}) where value <> '')"
     )
+
+
+def ratio(source: str) -> str:
+    """Named queries ending in ``scored(a, b, score)``: the matching-blocks
+    similarity of every (a, b) of ``source``, by explicit recursion over the
+    longest common blocks."""
+    run = (
+        "len(list_filter(range(1, least(ahi - i, bhi - j) + 1), lambda n: substring(a, i, n) = substring(b, j, n)))"
+    )
+    block = (
+        "list_max(flatten(list_transform(range(alo, ahi), lambda i: list_transform(range(blo, bhi), "
+        f"lambda j: {{'k': {run}, 'i': -i, 'j': -j}}))))"
+    )
+    return (
+        f"st as (select a, b, alo, ahi, blo, bhi, {block} as m from (select distinct a, b, 1 as alo, length(a)::int + 1 as ahi, 1 as blo, length(b)::int + 1 as bhi from {source}) "
+        f"union all select a, b, alo, ahi, blo, bhi, {block} as m from (select a, b, w.alo, w.ahi, w.blo, w.bhi from "
+        "(select a, b, unnest([{'alo': alo, 'ahi': (-m.i)::int, 'blo': blo, 'bhi': (-m.j)::int}, "
+        "{'alo': (m.k - m.i)::int, 'ahi': ahi, 'blo': (m.k - m.j)::int, 'bhi': bhi}]) as w from st where coalesce(m.k, 0) > 0)) "
+        "where alo < ahi and blo < bhi), "
+        "scored as materialized (select a, b, coalesce(2.0 * sum(coalesce(m.k, 0)) / nullif(length(a) + length(b), 0), 1.0) as score from st group by a, b)"
+    )
