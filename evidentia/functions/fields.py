@@ -16,7 +16,6 @@ from evidentia.functions.text import (
 )
 from evidentia.policy import DEFAULT, Policy
 
-EMPTY = F.lit("")
 
 
 def _first_group(c: Column, pattern: str, group: int = 1) -> Column:
@@ -42,12 +41,12 @@ def clean_name(c: Column) -> Column:
     joined = F.regexp_replace(joined, r"(?i)\Ais (?=\S+ \S)", "")
     joined = F.regexp_replace(joined, rf"(?i)\A(\S+ \S.*) (?:{tails})\z", "$1")
     name = F.initcap(F.regexp_extract(joined, r"\A\S+(?: \S+){1,3}", 0))
-    return F.when(anchor_text(c).isin(*non_name_labels()), EMPTY).otherwise(name)
+    return F.when(anchor_text(c).isin(*non_name_labels()), F.lit("")).otherwise(name)
 
 
 def clean_species(c: Column) -> Column:
     code = F.translate(F.upper(normalize_space(c)), " -", "__")
-    return F.when(code.rlike(r"\A[A-Z][A-Z_]{1,36}\z"), code).otherwise(EMPTY)
+    return F.when(code.rlike(r"\A[A-Z][A-Z_]{1,36}\z"), code).otherwise(F.lit(""))
 
 
 def is_calendar_date(c: Column) -> Column:
@@ -59,12 +58,12 @@ def clean_date(c: Column) -> Column:
     iso = F.replace(
         _first_group(c, r"(?U)\b(20\d{2}[-/]\d{2}[-/]\d{2})\b"), F.lit("/"), F.lit("-")
     )
-    return F.when((iso != "") & is_calendar_date(iso), iso).otherwise(EMPTY)
+    return F.when((iso != "") & is_calendar_date(iso), iso).otherwise(F.lit(""))
 
 
 def clean_sponsor(c: Column) -> Column:
     digits = _first_group(F.upper(c), r"(?U)\bSPN[- ]?(\d{4})\b")
-    return F.when(digits != "", F.concat(F.lit("SPN-"), digits)).otherwise(EMPTY)
+    return F.when(digits != "", F.concat(F.lit("SPN-"), digits)).otherwise(F.lit(""))
 
 
 def repaired_sponsors(c: Column) -> Column:
@@ -79,7 +78,8 @@ def repaired_sponsors(c: Column) -> Column:
 
 
 def underscored(c: Column) -> Column:
-    return F.translate(casefold(c), "- ", "__")
+    spaced = F.replace(casefold(c), F.lit(" "), F.lit("_"))
+    return F.replace(spaced, F.lit("-"), F.lit("_"))
 
 
 def contained_flags(folded: Column, policy: Policy = DEFAULT) -> Column:
@@ -113,13 +113,13 @@ def exact_flags(c: Column, policy: Policy = DEFAULT) -> Column:
     """Contained flags, else 'none' for an explicit none/clear, else ''."""
     found = F.nullif(contained_flags(underscored(c), policy), F.lit(""))
     clear = F.when(c.rlike(r"(?iU)\bnone\b|\bclear\b"), F.lit("none"))
-    return F.coalesce(found, clear, EMPTY)
+    return F.coalesce(found, clear, F.lit(""))
 
 
 def flag_tokens(c: Column) -> Column:
     """Tokens eligible for flag recovery; NULL when the text is not field-like."""
     tokens = F.regexp_extract_all(
-        F.translate(casefold(c), "-", "_"), F.lit(r"[a-z][a-z0-9_]{5,40}"), F.lit(0)
+        F.replace(casefold(c), F.lit("-"), F.lit("_")), F.lit(r"[a-z][a-z0-9_]{5,40}"), F.lit(0)
     )
     short = F.size(tokens).between(1, 3) & (F.length(normalize_space(c)) <= 80)
     return F.when(short, tokens)
@@ -139,7 +139,7 @@ def clean_flags(c: Column, policy: Policy = DEFAULT) -> Column:
     exact = exact_flags(c, policy)
     match = similarity.nearest_each({f: f for f in policy.flags}, policy.fuzzy_flag.floor)
     near = match(F.when(exact == "", flag_tokens(c)))
-    return F.when(exact != "", exact).otherwise(F.coalesce(recovered_flags(near, policy), EMPTY))
+    return F.when(exact != "", exact).otherwise(F.coalesce(recovered_flags(near, policy), F.lit("")))
 
 
 def fee_anchored(c: Column) -> Column:
@@ -158,7 +158,7 @@ def damaged_fee(c: Column) -> Column:
 
 
 def paid_amount(c: Column) -> Column:
-    return F.when(c.rlike(fixed.PAID_AMOUNT), F.lit("paid")).otherwise(EMPTY)
+    return F.when(c.rlike(fixed.PAID_AMOUNT), F.lit("paid")).otherwise(F.lit(""))
 
 
 def anchored_fee(c: Column, policy: Policy = DEFAULT, fuzzy: bool = True) -> Column:
@@ -175,7 +175,7 @@ def anchored_fee(c: Column, policy: Policy = DEFAULT, fuzzy: bool = True) -> Col
         near = match(F.when(fee_anchored(c) & (exact == ""), damaged_fee(c)))
         good = (near["score"] >= accept.score) & (near["score"] - near["runner_up"] >= accept.margin)
         tail = F.when(good, near["value"]).otherwise(tail)
-    return F.when(~fee_anchored(c), EMPTY).when(exact != "", exact).otherwise(tail)
+    return F.when(~fee_anchored(c), F.lit("")).when(exact != "", exact).otherwise(tail)
 
 
 def visa_token(raw: Column) -> Column:
@@ -256,7 +256,7 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 def normalize_candidate(field: Column, raw: Column, policy: Policy = DEFAULT, fuzzy: bool = True) -> Column:
     """Normalise a crop reading by the type of the field it was cropped for."""
-    first = F.coalesce(F.try_element_at(F.split(rows_text(raw), "\n"), F.lit(1)), EMPTY)
+    first = F.coalesce(F.try_element_at(F.split(rows_text(raw), "\n"), F.lit(1)), F.lit(""))
     flags = clean_flags(raw, policy) if fuzzy else exact_flags(raw, policy)
     return (
         F.when(field == "applicant_name", clean_name(first))

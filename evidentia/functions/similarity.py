@@ -188,13 +188,14 @@ def first_word_like(target: str, floor: float):
 
 def word_windows(words: Column, smallest: int, largest: int) -> Column:
     """Distinct runs of ``smallest``..``largest`` consecutive words."""
+    def run_of(width: int):
+        # a plain default argument would be taken for the index of the element
+        return lambda i: F.array_join(F.slice(words, i, width), " ")
+
     runs = [
         F.when(
             F.size(words) >= width,
-            F.transform(
-                F.sequence(F.lit(1), F.size(words) - width + 1),
-                lambda i, width=width: F.array_join(F.slice(words, i, width), " "),
-            ),
+            F.transform(F.sequence(F.lit(1), F.size(words) - width + 1), run_of(width)),
         ).otherwise(F.array().cast("array<string>"))
         for width in range(smallest, largest + 1)
     ]

@@ -15,13 +15,17 @@ LINE_BREAK = rf"\r\n|[{_VERTICAL}]"
 EDGE = " .,:;"
 
 # Letters whose full case folding is not their lower case.
-_FOLD_ONE = ("ſς", "sσ")
-_FOLD_MANY = {"ß": "ss", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
+_FOLD = {"ſ": "s", "ς": "σ", "ß": "ss", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
 
 
 def casefold(c: Column) -> Column:
-    folded = F.translate(F.lower(c), *_FOLD_ONE)
-    for letter, expansion in _FOLD_MANY.items():
+    """Full case folding of the letters that occur in print.
+
+    Chained byte replacements: each is a search that leaves a text without the
+    letter untouched, where a character map would rebuild every text.
+    """
+    folded = F.lower(c)
+    for letter, expansion in _FOLD.items():
         folded = F.replace(folded, F.lit(letter), F.lit(expansion))
     return folded
 

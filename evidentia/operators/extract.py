@@ -13,7 +13,6 @@ from evidentia import policy as fixed
 from evidentia.functions import fields as fn, similarity, text as tx
 from evidentia.policy import DEFAULT, Policy
 
-EMPTY = F.lit("")
 KINDS = tuple(fixed.PRECEDENCE)
 ATTESTATION_PARTS = ("sponsor", "applicant", "purpose", "visa")
 
@@ -175,7 +174,7 @@ def attestation(text: Column, policy: Policy = DEFAULT) -> dict[str, Column]:
         )
     )
     known = F.create_map(*[F.lit(x) for o in policy.purposes for x in (o.lower(), o)])
-    purpose = F.coalesce(F.try_element_at(known, said), EMPTY)
+    purpose = F.coalesce(F.try_element_at(known, said), F.lit(""))
     visa = fn.visa_token(
         F.regexp_extract(
             rest,
@@ -212,7 +211,7 @@ def approximate_applicants(readings: DataFrame, text: Column, policy: Policy = D
         F.coalesce(
             like(F.when(F.size("spans") > 0, F.col("spans"))), F.array().cast("array<boolean>")
         ),
-        lambda s, hit: F.when(hit, fn.clean_name(F.substring_index(s, " ", -2))).otherwise(EMPTY),
+        lambda s, hit: F.when(hit, fn.clean_name(F.substring_index(s, " ", -2))).otherwise(F.lit("")),
     )
     found = F.array_distinct(F.filter(names, lambda n: n != ""))
     return staged.withColumn("approximate", found).drop("spans")
@@ -282,7 +281,7 @@ _LABELS = {
 }
 
 
-def having(literal: str, value: Column, otherwise: Column = EMPTY) -> Column:
+def having(literal: str, value: Column, otherwise: Column | None = None) -> Column:
     """``value`` only where the folded text (or its rows) contains the literal.
 
     A byte search is far cheaper than a case-insensitive pattern, and most
@@ -293,7 +292,7 @@ def having(literal: str, value: Column, otherwise: Column = EMPTY) -> Column:
         # the words of a label may be separated by other spaces in the text
         # than in its normalised rows
         present = present | F.contains(F.col("folded_rows"), F.lit(literal))
-    return F.when(present, value).otherwise(otherwise)
+    return F.when(present, value).otherwise(F.lit("") if otherwise is None else otherwise)
 
 
 def read_labels(readings: DataFrame, policy: Policy = DEFAULT, fuzzy: bool = True) -> DataFrame:
@@ -324,8 +323,8 @@ def read_labels(readings: DataFrame, policy: Policy = DEFAULT, fuzzy: bool = Tru
     )
     page = page.withColumns(
         {
-            "flags": fn.exact_flags(F.col("flag_text"), policy),
-            "note_flags": F.coalesce(fn.exact_flags(F.col("note_text"), policy), EMPTY),
+            "flags": F.when(F.col("flag_text") != "", fn.exact_flags(F.col("flag_text"), policy)).otherwise(F.lit("")),
+            "note_flags": F.coalesce(fn.exact_flags(F.col("note_text"), policy), F.lit("")),
         }
     )
     if fuzzy:
@@ -342,16 +341,19 @@ def read_labels(readings: DataFrame, policy: Policy = DEFAULT, fuzzy: bool = Tru
                 for n in ("flags", "note_flags")
             }
         ).drop("near_flags", "near_note_flags")
+    def cleaned(name: str, clean) -> Column:
+        return F.when(label[name] != "", clean(label[name]))
+
     name = tx.first_nonempty(
-        fn.clean_name(label["applicant_name"]),
-        fn.clean_name(label["applicant"]),
+        cleaned("applicant_name", fn.clean_name),
+        cleaned("applicant", fn.clean_name),
         having("applicant name", tx.value_before_label(row_array, "Applicant Name", fn.clean_name)),
         having("applicant", tx.value_before_label(row_array, "Applicant", fn.clean_name)),
-        fn.clean_name(label["registry_name"]),
+        cleaned("registry_name", fn.clean_name),
     )
     sponsor = tx.first_nonempty(
-        fn.clean_sponsor(label["sponsor_id"]),
-        fn.clean_sponsor(label["sponsor"]),
+        cleaned("sponsor_id", fn.clean_sponsor),
+        cleaned("sponsor", fn.clean_sponsor),
         having("sponsor id", tx.value_before_label(row_array, "Sponsor ID", fn.clean_sponsor)),
         having("sponsor", tx.value_before_label(row_array, "Sponsor", fn.clean_sponsor)),
         F.when(kind == "sponsor", fn.clean_sponsor(text)),
@@ -359,15 +361,15 @@ def read_labels(readings: DataFrame, policy: Policy = DEFAULT, fuzzy: bool = Tru
     embargo = (kind == "registry") & label["registry_status"].rlike(r"(?iU)\bembargo\b")
     pairs = {
         "name": name,
-        "species": fn.clean_species(label["species"]),
-        "world": tx.normalize_space(label["home_world"]),
+        "species": tx.first_nonempty(cleaned("species", fn.clean_species)),
+        "world": label["home_world"],
         "visa": fn.find_visa(text),
         "sponsor": sponsor,
-        "date": fn.clean_date(label["arrival_date"]),
+        "date": tx.first_nonempty(cleaned("arrival_date", fn.clean_date)),
         "purpose": tx.first_nonempty(label["declared_purpose"], label["purpose"]),
-        "paid": fn.exact_fee(label["fee_status"]),
-        "noted": F.when(kind == "note", fn.find_finding(tx.first_nonempty(label["finding"], text))).otherwise(EMPTY),
-        "embargo": F.when(embargo, F.lit("true")).otherwise(EMPTY),
+        "paid": tx.first_nonempty(cleaned("fee_status", fn.exact_fee)),
+        "noted": F.when(kind == "note", fn.find_finding(tx.first_nonempty(label["finding"], text))).otherwise(F.lit("")),
+        "embargo": F.when(embargo, F.lit("true")).otherwise(F.lit("")),
     }
     page = page.withColumns({f"read_{n}": v for n, v in pairs.items()})
     read = {n: F.col(f"read_{n}") for n in pairs}
@@ -455,7 +457,7 @@ def facts(
         {
             **{f"attested_{n}": having("attests", v) for n, v in attestation(text, policy).items()},
             **{f"corrected_{n}": having("manual", v) for n, v in manual_corrections(text).items()},
-            "fee": fn.anchored_fee(text, policy, fuzzy),
+            "fee": F.when(F.contains("folded", F.lit("fee")), fn.anchored_fee(text, policy, fuzzy)).otherwise(F.lit("")),
             "adverse": adverse_flags(text, policy),
             **{f"hits_{n}": v for n, v in category_hits(text, kind, policy).items()},
             "manual": having("finding", manual_finding(text)),
@@ -463,7 +465,7 @@ def facts(
         }
     )
     if fuzzy:
-        page = approximate_applicants(page, F.when(native, text).otherwise(EMPTY), policy)
+        page = approximate_applicants(page, F.when(native, text).otherwise(F.lit("")), policy)
     attested = {n: F.col(f"attested_{n}") for n in ATTESTATION_PARTS}
     scalar = _facts(
         [
@@ -471,30 +473,30 @@ def facts(
             *[
                 (
                     f"note:{value}",
-                    F.when((kind == "note") & (F.col("noted") == value), F.lit("true")).otherwise(EMPTY),
+                    F.when((kind == "note") & (F.col("noted") == value), F.lit("true")).otherwise(F.lit("")),
                 )
                 for value in ("DENIED", "NEEDS_REVIEW")
             ],
-            ("note_page", F.when(kind == "note", F.lit("true")).otherwise(EMPTY)),
+            ("note_page", F.when(kind == "note", F.lit("true")).otherwise(F.lit(""))),
             *[
-                (f"correction:{n}", F.when(native, F.col(f"corrected_{n}")).otherwise(EMPTY))
+                (f"correction:{n}", F.when(native, F.col(f"corrected_{n}")).otherwise(F.lit("")))
                 for n in _CORRECTIONS
             ],
-            ("attested_name", F.when(native, attested["applicant"]).otherwise(EMPTY)),
+            ("attested_name", F.when(native, attested["applicant"]).otherwise(F.lit(""))),
             (
                 "attestation",
                 F.when(
                     native & (attested["sponsor"] != "") & (attested["applicant"] != ""),
                     F.concat_ws("|", *[attested[p] for p in ATTESTATION_PARTS]),
-                ).otherwise(EMPTY),
+                ).otherwise(F.lit("")),
             ),
             (
                 "whole_fee",
-                F.when(native & F.col("fee").isin("paid", "waived"), F.col("fee")).otherwise(EMPTY),
+                F.when(native & F.col("fee").isin("paid", "waived"), F.col("fee")).otherwise(F.lit("")),
             ),
             (
                 "clean_biometrics",
-                F.when(native & F.col("calm"), F.lit("true")).otherwise(EMPTY),
+                F.when(native & F.col("calm"), F.lit("true")).otherwise(F.lit("")),
             ),
             ("adverse", F.col("adverse")),
         ]
@@ -593,7 +595,7 @@ def fuzzy_categories(readings: DataFrame, policy: Policy = DEFAULT) -> DataFrame
         good = (ranked[0]["score"] >= accept.score) & (
             ranked[0]["score"] - ranked[1]["score"] >= accept.margin
         )
-        results.append(F.when(good, ranked[0]["value"]).otherwise(EMPTY).alias(f"fuzzy_{name}"))
+        results.append(F.when(good, ranked[0]["value"]).otherwise(F.lit("")).alias(f"fuzzy_{name}"))
     return out.groupBy("case_id").agg(*aggregates).select("case_id", *results)
 
 

@@ -11,7 +11,10 @@ from evidentia.plans.catalog import Catalog
 
 catalog = Catalog()
 PREDICTIONS = f"with {src.cte('predictions', src.PREDICTIONS)}"
-ROW = {n: F.col(n) for n in fixed.FIELDS}
+
+
+def record():
+    return {n: F.col(n) for n in fixed.FIELDS}
 
 
 def _listed(values) -> str:
@@ -59,7 +62,7 @@ def decide_cascade(spark, folder):
         & (F.col("k") % 2 == 0)
     )
     outcome = op.decide(
-        ROW,
+        record(),
         finding=F.col("finding"),
         clean_biometrics=F.col("biometrics"),
         manual_approval=F.col("approved"),
@@ -98,8 +101,8 @@ def _complete(*ignored: str) -> str:
 def completeness(spark, folder):
     rows = src.bind(spark, folder, src.PREDICTIONS)
     return rows.groupBy(
-        op.complete(ROW).alias("complete"),
-        op.complete(ROW, ("risk_flags", "fee_status")).alias("complete_but_fee"),
+        op.complete(record()).alias("complete"),
+        op.complete(record(), ("risk_flags", "fee_status")).alias("complete_but_fee"),
         op.fee_ok(F.col("fee_status"), F.col("visa_class")).alias("fee_ok"),
         op.sponsor_ok(F.col("sponsor_id"), F.col("visa_class")).alias("sponsor_ok"),
     ).agg(F.count(F.lit(1)).alias("cases"))
@@ -123,7 +126,7 @@ _SCORED = PREDICTIONS + ", s as (select *, " + ", ".join(f"{v} as {n}" for n, v
 )
 def paired_gate(spark, folder):
     rows = src.bind(spark, folder, src.PREDICTIONS).withColumns({n: F.expr(v) for n, v in SCORES.items()})
-    gate = op.paired_gate(ROW, F.col("approval"), F.col("denial"), F.col("biometrics"))
+    gate = op.paired_gate(record(), F.col("approval"), F.col("denial"), F.col("biometrics"))
     return rows.filter(gate).select("case_id")
 
 
@@ -136,7 +139,7 @@ def paired_gate(spark, folder):
 def modeled_fee_gate(spark, folder):
     rows = src.bind(spark, folder, src.PREDICTIONS).withColumns({n: F.expr(v) for n, v in SCORES.items()})
     gate = op.modeled_fee_gate(
-        ROW,
+        record(),
         fee_value=F.when(F.col("k") % 2 == 0, "paid").otherwise("waived"),
         fee_probability=F.col("fee_p"),
         fee_margin=F.col("fee_margin"),
