@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from evidentia.llm import mixing, quality, secrets
+from evidentia.llm import langid, mixing, pieces, quality, secrets, token_counts
 from evidentia.plans.catalog import Catalog
 
 catalog = Catalog()
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer file, the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -27,9 +34,31 @@ def op3_mix_sources(spark, folder):
     return mixing.mix(docs, mixing.tempered_weights(docs))
 
 
+@catalog.add("op4_sentencepiece")
+def op4_sentencepiece(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.digest(pieces.tokenise(docs, vocabulary("piece_bpe_32k.model")))
+
+
 @catalog.add("op6_quality_rules", quality.SQL)
 def op6_quality_rules(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     return quality.judge(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@catalog.add("op8_language_id")
+def op8_language_id(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    rows = langid.identify(docs.select("doc_id", "text"), model)
+    return rows.select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected"
+    )
+
+
+@catalog.add("op10_token_counts")
+def op10_token_counts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, vocabulary("piece_bpe_32k.model")).drop("text")
