@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from evidentia.llm import langid, mixing, pieces, quality, secrets, token_counts
+from evidentia.llm import langid, mixing, pieces, quality, secrets, token_counts, token_files
 from evidentia.plans.catalog import Catalog
 
 catalog = Catalog()
@@ -40,6 +40,13 @@ def op4_sentencepiece(spark, folder):
     return pieces.digest(pieces.tokenise(docs, vocabulary("piece_bpe_32k.model")))
 
 
+@catalog.add("op5_token_files")
+def op5_token_files(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    written = token_files.write_files(docs, vocabulary("word_bpe_49k.json"))
+    return token_files.read_documents(spark, written, ids=False)
+
+
 @catalog.add("op6_quality_rules", quality.SQL)
 def op6_quality_rules(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
