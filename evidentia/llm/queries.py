@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from evidentia.llm import langid, mixing, pieces, quality, secrets, token_counts, token_files
+from evidentia.llm import langid, mixing, neardup, pieces, quality, secrets, token_counts, token_files
 from evidentia.plans.catalog import Catalog
 
 catalog = Catalog()
@@ -21,6 +21,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@catalog.add("op1_near_duplicates", neardup.SQL)
+def op1_near_duplicates(spark, folder):
+    return neardup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @catalog.add("op2_secret_scan", secrets.SQL)
 def op2_secret_scan(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
