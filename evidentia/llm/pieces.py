@@ -22,13 +22,14 @@ from operator import add
 
 import ahocorasick
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 MARK = "▁"
 _UNIT = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 _NEVER = 1 << 60
-_KEEP, _LONGEST = 400_000, 48
+#: Cached units and parts, length of a cached one, rows of a batch of results.
+_KEEP, _LONGEST, _ROWS = 200_000, 48, 500
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -136,7 +137,7 @@ class PieceCodec:
         """The last token of each prefix of ``text`` (known characters, no inner space mark)."""
         table = [-1] * len(text)
         length, pairs = self.length, self._pairs
-        if len(pairs) > 2_000_000:
+        if len(pairs) > 500_000:
             pairs.clear()
         for end, token in self.automaton.iter(text):
             if table[end] < 0:
@@ -227,41 +228,43 @@ def codec(path: str) -> PieceCodec:
     return _CODECS[path]
 
 
-def encoder(path: str):
-    """A vectorised function: text -> ids, little-endian unsigned 32-bit integers as binary."""
-
-    @F.pandas_udf("binary")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = codec(path)
-        for texts in batches:
-            yield pd.Series([own.encode(t).tobytes() for t in texts], dtype=object)
-
-    return encoded.asNondeterministic()  # evaluated once, however often it is read
-
-
 def decoder(path: str):
     """A vectorised function: ids as binary -> text."""
 
-    @F.pandas_udf("string")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = codec(path)
+    @F.arrow_udf("string")
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for ids in batches:
-            yield pd.Series([None if i is None else own.decode(np.frombuffer(i, "<u4")) for i in ids], dtype=object)
+            own = codec(path)
+            yield pa.array([None if i is None else own.decode(np.frombuffer(i, "<u4")) for i in ids.to_pylist()], pa.string())
 
-    return decoded.asNondeterministic()
+    return decoded
 
 
 def tokenise(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with ids (binary), n_tokens and decoded (text).
+    """``docs`` with ids (little-endian unsigned 32-bit integers, binary), n_tokens and decoded (text).
 
     Null and empty texts give begin and end alone and decode to the empty text.
     Rows are independent: repeated rows, null keys and further columns pass
     through; columns of these names are replaced. ``path`` must name the same
     file on every executor.
     """
-    rows = docs.drop("ids", "n_tokens", "decoded").withColumn("ids", encoder(path)(F.col(text)))
-    rows = rows.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
-    return rows.withColumn("decoded", decoder(path)("ids"))
+    docs = docs.drop("ids", "n_tokens", "decoded")
+    schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string("ids binary, n_tokens long, decoded string").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ROWS):
+                rows = batch.slice(at, _ROWS)
+                ids = [own.encode(t) for t in rows[text].to_pylist()]
+                new = [
+                    pa.array([i.tobytes() for i in ids], pa.binary()),
+                    pa.array([len(i) for i in ids], pa.int64()),
+                    pa.array([own.decode(i) for i in ids], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *new], schema.names)
+
+    return docs.mapInArrow(run, schema)
 
 
 def digest(rows: DataFrame) -> DataFrame:
