@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from evidentia.llm import langid, mixing, neardup, pieces, quality, secrets, token_counts, token_files
+from evidentia.llm import ann, langid, mixing, neardup, pieces, quality, secrets, token_counts, token_files
 from evidentia.plans.catalog import Catalog
 
 catalog = Catalog()
@@ -70,6 +70,11 @@ def op8_language_id(spark, folder):
     )
 
 
+@catalog.add("op9_nearest_neighbours")
+def op9_nearest_neighbours(spark, folder):
+    return ann.nearest_neighbours(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 @catalog.add("op10_token_counts")
 def op10_token_counts(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
