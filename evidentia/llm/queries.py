@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from evidentia.llm import ann, langid, mixing, neardup, pieces, quality, secrets, token_counts, token_files
+from evidentia.llm import ann, langid, mixing, neardup, pieces, quality, repeats, secrets, token_counts, token_files
 from evidentia.plans.catalog import Catalog
 
 catalog = Catalog()
@@ -60,6 +60,11 @@ def op6_quality_rules(spark, folder):
     )
 
 
+@catalog.add("op7_repeated_passages")
+def op7_repeated_passages(spark, folder):
+    return repeats.digest(repeats.without_repeats(table(spark, folder, "documents").select("doc_id", "text")))
+
+
 @catalog.add("op8_language_id")
 def op8_language_id(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
