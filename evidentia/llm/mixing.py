@@ -87,9 +87,10 @@ def mix(docs: DataFrame, weights: DataFrame, epochs: float = 1.0, seed: int = 17
     key = F.coalesce(docs["doc_id"].cast("string"), F.lit(""))
     uniform = fingerprint(F.concat(F.lit(f"{seed}:count:"), key)) / F.lit(SCALE)
     rows = docs.join(functions, docs["source"].eqNullSafe(functions["__source"]), "inner")
-    count = F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
+    # the count is the number of values below the uniform number: its place among them
+    count = F.array_position(F.array_sort(F.array_append("__cdf", F.col("__u"))), F.col("__u")) - 1
     rows = rows.withColumn("__u", uniform).withColumn("__n", count).where("__n > 0").drop("__cdf", "__u", "__source")
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n")
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).drop("__n")
     place = F.concat(F.lit(f"{seed}:place:"), key, F.lit(":"), F.col("copy").cast("string"))
     rows = rows.withColumn("mix_key", fingerprint(place, 15))
     return rows.repartition("mix_key").sortWithinPartitions("mix_key")
@@ -105,7 +106,7 @@ f as (select *, sum(ln(greatest(k, 1)::double)) over (partition by source order
 m as (select source, k, case when rate > 0 then exp(k * ln(rate) - rate - lf) else (k = 0)::int::double end as mass from f),
 c as (select source, k, sum(mass) over (partition by source order by k) as cdf from m),
 u as (select *, ('0x' || substr(md5('17:count:' || coalesce(doc_id::varchar, '')), 1, 13))::bigint / pow(2, 52) as u from documents),
-n as (select u.doc_id, u.source, u.text, u.lang, u.n_chars, count(*) as n from u join c on u.source is not distinct from c.source and c.cdf <= u.u group by all),
+n as (select u.doc_id, u.source, u.text, u.lang, u.n_chars, count(*) as n from u join c on u.source is not distinct from c.source and c.cdf < u.u group by all),
 e as (select *, unnest(range(1, n + 1)) as copy from n)
 select doc_id, text, lang, source, n_chars, copy::int as copy,
 ('0x' || substr(md5('17:place:' || coalesce(doc_id::varchar, '') || ':' || copy), 1, 15))::bigint as mix_key from e
