@@ -44,9 +44,9 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
-def column(df: DataFrame, name: str) -> Column:
-    """A column by its exact name, also when the name holds dots or back quotes."""
-    return df["`" + name.replace("`", "``") + "`"]
+def columns(df: DataFrame, *without: str) -> list[Column]:
+    """All columns of a frame but some, also those whose names hold dots or back quotes."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in without]
 
 
 def fingerprint(value: Column, digits: int = 13) -> Column:

@@ -27,6 +27,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from evidentia.llm.common import columns
+
 ORDER = 4
 UNKNOWN = "und"
 _START, _GAP = 0, 32
@@ -153,8 +155,8 @@ class Model:
                 continue
             first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             rows = np.asarray(rows)[owner[first]]
-            sums = np.add.reduceat(self.log_probabilities(keys), first, axis=0, dtype=np.float64)
-            np.add.at(total, rows, sums)
+            if self.languages:
+                np.add.at(total, rows, np.add.reduceat(self.log_probabilities(keys), first, axis=0, dtype=np.float64))
             np.add.at(size, rows, np.diff(np.r_[first, len(owner)]))
             np.add.at(letters, rows, np.add.reduceat(letter.astype(np.int64), first))
         return -total / np.maximum(size, 1)[:, None], size, letters
@@ -343,4 +345,4 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     names = ("lang_pred", "score", "cross_entropy", "rejected")
     rows = docs.drop(*names).withColumn("__p", predictor(docs.sparkSession, model)("text"))
-    return rows.select(*[c for c in rows.columns if c != "__p"], "__p.*")
+    return rows.select(*columns(rows, "__p"), "__p.*")

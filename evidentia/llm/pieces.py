@@ -249,14 +249,16 @@ def tokenise(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     file on every executor.
     """
     docs = docs.drop("ids", "n_tokens", "decoded")
-    schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string("ids binary, n_tokens long, decoded string").fields])
+    names, at_text = docs.columns, docs.columns.index(text)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])  # any name may be in a frame, not in this kind of map
+    schema = T.StructType([*plain.schema.fields, *T._parse_datatype_string("ids binary, n_tokens long, decoded string").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS):
                 rows = batch.slice(at, _ROWS)
-                ids = [own.encode(t) for t in rows[text].to_pylist()]
+                ids = [own.encode(t) for t in rows.column(at_text).to_pylist()]
                 new = [
                     pa.array([i.tobytes() for i in ids], pa.binary()),
                     pa.array([len(i) for i in ids], pa.int64()),
@@ -264,7 +266,7 @@ def tokenise(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([*rows.columns, *new], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema).toDF(*names, "ids", "n_tokens", "decoded")
 
 
 def digest(rows: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from evidentia.llm.common import BLANKS, stored, words
+from evidentia.llm.common import BLANKS, columns, stored, words
 
 
 @dataclass(frozen=True)
@@ -55,7 +55,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         lambda x, i: F.xxhash64(x, *[F.get("__w", i + k) for k in range(1, WINDOW)]),
     )
     rows = rows.select(
-        *[c for c in rows.columns if c not in ("__w", "__l")],
+        *columns(rows, "__w", "__l"),
         n.alias("n_words"),
         F.length(F.array_join("__w", "")).alias("word_chars"),
         F.size("__l").alias("n_lines"),

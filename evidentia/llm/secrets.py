@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from evidentia.llm.common import stored
+from evidentia.llm.common import columns, stored
 
 
 @dataclass(frozen=True)
@@ -156,7 +156,7 @@ def redact(docs: DataFrame, found: DataFrame, mask: str = "[SECRET]", text: str
     clean = F.transform("__pieces", lambda p: F.substring(F.col(text), p["a"] + 1, p["b"] - p["a"]))
     rest = F.substring(F.col(text), F.col("__rest") + 1, F.length(F.col(text)))
     new = F.when(F.col("__rest").isNull(), F.col(text)).otherwise(F.array_join(F.concat(clean, F.array(rest)), mask))
-    return rows.withColumn(text, new).select(*docs.columns)
+    return rows.withColumn(text, new).select(*columns(docs))
 
 
 def span_text(spans: Column) -> Column:

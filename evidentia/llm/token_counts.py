@@ -22,6 +22,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from evidentia.llm.common import columns
+
 MARK = "▁"
 _KEEP, _LONGEST = 300_000, 64
 
@@ -144,4 +146,4 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     name the same file on every executor.
     """
     rows = docs.drop("n_tokens", "n_words").withColumn("__c", counter(path)(F.col(text)))
-    return rows.select(*[c for c in rows.columns if c != "__c"], "__c.*")
+    return rows.select(*columns(rows, "__c"), "__c.*")
