@@ -12,14 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from evidentia.llm import langid, mixing, neardup, pieces, secrets
-from evidentia.llm.common import stored
+from evidentia.llm.common import columns, stored
 from evidentia.llm.queries import vocabulary
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; models of all labelled documents of this stage's input."""
     model = langid.fit(docs)
-    return langid.identify(docs, model).where("not rejected").select(*docs.columns)
+    return langid.identify(docs, model).where("not rejected").select(*columns(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of documents at the rates that give each source its tempered share, globally shuffled."""
-    return mixing.mix(docs, mixing.tempered_weights(docs)).select(*docs.columns)
+    return mixing.mix(docs, mixing.tempered_weights(docs)).select(*columns(docs))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
