@@ -220,8 +220,8 @@ def iso_dates(c: Column, policy: Policy = DEFAULT) -> Column:
 
 def damaged_dates(c: Column, policy: Policy = DEFAULT) -> Column:
     """Dates on an arrival-date-like line whose sixes were read as eights."""
-    year = policy.receipt_date.year
-    misread = str(year).replace("6", "8")
+    misread, year = policy.misread_year
+    misread_month, month = policy.misread_month
     lines = F.filter(
         raw_lines(c), lambda line: line.rlike(r"(?iU)\ba[a-z]{2,12}\s+d[a-z]{2,6}\b")
     )
@@ -237,7 +237,7 @@ def damaged_dates(c: Column, policy: Policy = DEFAULT) -> Column:
         raw,
         lambda r: F.concat(
             F.lit(f"{year}-"),
-            F.when(F.substring(r, 1, 2) == "08", F.lit("06")).otherwise(F.substring(r, 1, 2)),
+            F.when(F.substring(r, 1, 2) == misread_month, F.lit(month)).otherwise(F.substring(r, 1, 2)),
             F.lit("-"),
             F.right(r, F.lit(2)),
         ),
@@ -297,7 +297,7 @@ def snap_name(c: Column, policy: Policy = DEFAULT) -> Column:
     """
     words = F.split(normalize_space(c), " ")
     count = F.size(words)
-    match = similarity.nearest_each({t: t.lower() for t in policy.name_tokens})
+    match = similarity.nearest_each({t: t.lower() for t in policy.name_tokens}, policy.name_token_score)
     ranked = match(F.when(count.between(2, 4), F.split(casefold(normalize_space(c)), " ")))
     corrected = F.array_join(
         F.transform(

@@ -150,18 +150,30 @@ def window_scores(options: dict[str, str], floor: float):
 
 
 def best_window(floor: float = 0.0):
-    """UDF: best similarity of a target over its candidate windows (target first)."""
+    """UDF: best similarity of a target over the runs of words of a text.
+
+    Runs have a word less than the target to a word more, whatever its length.
+    """
 
     @F.pandas_udf(T.DoubleType())
-    def score(targets: pd.Series, windows: pd.Series) -> pd.Series:
+    def score(targets: pd.Series, texts: pd.Series) -> pd.Series:
         ratio = make_ratio()
-        return pd.Series(
-            [
-                None if t is None or w is None else max((ratio(t, x, floor) for x in w), default=0.0)
-                for t, w in zip(targets, windows)
-            ],
-            dtype="float64",
-        )
+        seen: dict[tuple[str, str], float] = {}
+
+        def best(target, text):
+            if target is None or text is None:
+                return None
+            words, size = text.split(" "), len(target.split(" "))
+            top = 0.0
+            for width in range(max(1, size - 1), size + 2):
+                for run in {" ".join(words[i : i + width]) for i in range(len(words) - width + 1)}:
+                    pair = target, run
+                    if pair not in seen:
+                        seen[pair] = ratio(target, run, floor)
+                    top = max(top, seen[pair])
+            return top
+
+        return pd.Series([best(t, x) for t, x in zip(targets, texts)], dtype="float64")
 
     return score
 

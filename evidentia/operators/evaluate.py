@@ -256,14 +256,8 @@ def classify_misses(
     pairs = wanted.join(visible, "case_id")
     exact = (F.col("expected_key") != "") & F.contains("visible", F.col("expected_key"))
     if similarity_scores:
-        size = F.size(F.split("expected_key", " "))
-        words = F.split("visible", " ")
-        windows = F.filter(
-            similarity.word_windows(words, 1, 5),
-            lambda w: F.size(F.split(w, " ")).between(F.greatest(size - 1, F.lit(1)), size + 1),
-        )
         score = similarity.best_window()(
-            F.when(~exact & (F.col("expected_key") != ""), F.col("expected_key")), windows
+            F.when(~exact & (F.col("expected_key") != ""), F.col("expected_key")), F.col("visible")
         )
         score = F.when(exact, 1.0).otherwise(F.coalesce(F.round(score, 4), F.lit(0.0)))
     else:

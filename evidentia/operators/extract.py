@@ -202,7 +202,7 @@ def approximate_applicants(readings: DataFrame, text: Column, policy: Policy = D
     # A word can be that similar only if at most three of its letters are not
     # letters of the label (matched letters must occur in both).
     near = "(?=(?i:[aplicnt]*+(?:[a-z'-][aplicnt]*+){0,3}) )"
-    span = r"[A-Za-z'-]{5,12}(?: (?i:name))?+ [A-Za-z'-]+ [A-Za-z'-]+"
+    span = r"[A-Za-z'-]{5,12}(?: (?i:name)(?= ))?+ [A-Za-z'-]+ [A-Za-z'-]+"
     spans = F.regexp_extract_all(words, F.lit(rf"(?<![A-Za-z'-]){near}(?=({span}))"), F.lit(1))
     like = similarity.first_word_like("applicant", policy.label_score)
     staged = readings.withColumn("spans", spans)
@@ -248,13 +248,15 @@ def adverse_flags(text: Column, policy: Policy = DEFAULT) -> Column:
 def name_pairs(text: Column) -> tuple[Column, Column]:
     """First and second words of every adjacent pair within a line, aligned.
 
-    The look-ahead lets one word be the second of a pair and the first of the
-    next.
+    Words and line ends are taken in order, then put beside their successors,
+    so words of any length stay whole.
     """
     lines = F.regexp_replace(text, tx.LINE_BREAK, "\n")
-    word = "[A-Za-z][A-Za-z'-]*+"
-    pair = F.lit(rf"(?<![A-Za-z][A-Za-z'-]{{0,80}})({word})(?=[^A-Za-z\n]++({word}))")
-    return F.regexp_extract_all(lines, pair, F.lit(1)), F.regexp_extract_all(lines, pair, F.lit(2))
+    parts = F.regexp_extract_all(lines, F.lit("[A-Za-z][A-Za-z'-]*+|\n"), F.lit(0))
+    rest = F.greatest(F.size(parts) - 1, F.lit(0))
+    beside = F.zip_with(F.slice(parts, 1, rest), F.slice(parts, 2, rest), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    pairs = F.filter(beside, lambda p: (p["a"] != "\n") & (p["b"] != "\n"))
+    return F.transform(pairs, lambda p: p["a"]), F.transform(pairs, lambda p: p["b"])
 
 
 # -- one reading to typed evidence ----------------------------------------
@@ -507,7 +509,7 @@ def facts(
     ]
     listed.append(_facts_of_array("iso_date", fn.iso_dates(text, policy)))
     listed.append(
-        _facts_of_array("damaged_date", F.when(native, having(str(policy.receipt_date.year).replace("6", "8"), fn.damaged_dates(text, policy), nothing)).otherwise(nothing))
+        _facts_of_array("damaged_date", F.when(native, having(policy.misread_year[0], fn.damaged_dates(text, policy), nothing)).otherwise(nothing))
     )
     listed.append(
         _facts_of_array(
@@ -531,7 +533,7 @@ def facts(
         "page",
         "reading_no",
         "kind",
-        F.xxhash64("text").alias("text_key"),
+        F.sha2("text", 256).alias("text_key"),
         F.concat("found", scalar, *listed).alias("facts"),
     )
     if not deduplicated:

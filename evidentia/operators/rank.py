@@ -63,13 +63,13 @@ def running_sums(
 
 
 def average_rank(df: DataFrame, score: str, alias: str) -> DataFrame:
-    """Average-tie rank of ``score`` over all rows, divided by their number."""
-    histogram = df.groupBy(score).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
+    """Average-tie rank of ``score`` among the rows that have one, divided by their number; else null."""
+    histogram = df.where(F.col(score).isNotNull()).groupBy(score).agg(F.count(F.lit(1)).alias("n"))
+    total = df.where(F.col(score).isNotNull()).count()
     ranked = running_sums(histogram, score, ["n"]).select(
         score, ((F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2.0) / F.lit(total)).alias(alias)
     )
-    return df.join(ranked, score)
+    return df.join(ranked, score, "left")
 
 
 def threshold_sweep(df: DataFrame, score: str, label: str, classes: tuple[str, ...]) -> DataFrame:
@@ -104,11 +104,11 @@ def hash_half(key: Column) -> Column:
 def stratified_folds(df: DataFrame, key: str, stratum: str, folds: int = 5, cells: int = 256) -> DataFrame:
     """Adds ``fold``: position in key-hash order within the stratum, modulo ``folds``.
 
-    The order is cut by the leading hash byte, so that a stratum holding most
-    of the rows is still ranked in ``cells`` parts.
+    The order is cut into ``cells`` equal ranges of hashes, so that a stratum holding most
+    of the rows is still ranked in as many parts; their number never changes the result.
     """
     hashed = df.withColumn("_h", F.sha2(F.col(key).cast("string"), 256)).withColumn(
-        "_cell", F.conv(F.substring("_h", 1, 2), 16, 10).cast("int") % cells
+        "_cell", F.floor(F.conv(F.substring("_h", 1, 8), 16, 10).cast("long") * cells / F.lit(1 << 32)).cast("int")
     )
     sizes = hashed.groupBy(stratum, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(stratum).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)

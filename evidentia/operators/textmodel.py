@@ -217,6 +217,11 @@ _NO_CLASS = (
 )
 
 
+def _bare(model: Model) -> Column:
+    """What a binary model says of a case without any text: its intercept alone."""
+    return binary_probability(F.array(F.lit(float(model.intercepts[0]))))
+
+
 def add_model_scores(cases: DataFrame, texts: DataFrame, models: Models | None) -> DataFrame:
     """Score columns of every model on the cases, inert values for missing models."""
     models = models or Models()
@@ -235,7 +240,7 @@ def add_model_scores(cases: DataFrame, texts: DataFrame, models: Models | None)
         if model is None:
             return {name: F.lit(0.0), f"{name}_threshold": F.lit(1.0)}
         return {
-            name: F.coalesce(binary_probability(F.col(f"m_{name}")), F.lit(0.0)),
+            name: F.coalesce(binary_probability(F.col(f"m_{name}")), _bare(model)),
             f"{name}_threshold": F.lit(float(model.threshold)),
         }
 

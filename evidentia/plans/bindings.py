@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from evidentia import policy as fixed
-from evidentia.session import spread
 
 
 def _pick(options, position: str) -> str:
@@ -20,8 +19,8 @@ def _pick(options, position: str) -> str:
 
 
 _TEXT_KEY = "lpad(cast(o_orderkey as string), 8, '0')"
-_FIRST = f"({_pick(fixed.NAME_PREFIXES, 'o_custkey % 12')} || {_pick(fixed.NAME_SUFFIXES, 'cast(floor(o_custkey / 12) as bigint) % 12')})"
-_SECOND = f"({_pick(fixed.NAME_PREFIXES, 'o_orderkey % 12')} || {_pick(fixed.NAME_SUFFIXES, 'cast(floor(o_orderkey / 12) as bigint) % 12')})"
+_FIRST = _pick(fixed.NAME_TOKENS, "12 * (o_custkey % 12) + cast(floor(o_custkey / 12) as bigint) % 12")
+_SECOND = _pick(fixed.NAME_TOKENS, "12 * (o_orderkey % 12) + cast(floor(o_orderkey / 12) as bigint) % 12")
 
 #: One row per case: undamaged values.
 CASES = f"""
@@ -321,7 +320,7 @@ WORDS = Rows(
 def bind(spark: SparkSession, folder: str, source: str | Rows) -> DataFrame:
     tables = {n: table(spark, folder, n) for n in ("orders", "customer")}
     if isinstance(source, Rows):
-        return source.frame(spread(spark.sql(CASES, **tables), "case_id"))
+        return source.frame(spark.sql(CASES, **tables).repartition("case_id"))
     return spark.sql(source, **tables)
 
 
@@ -330,8 +329,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents, spread over the cores for the text-heavy plans."""
-    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    """Documents by doc_id, which all text-heavy plans aggregate by."""
+    return table(spark, folder, "documents").select("doc_id", "text").repartition("doc_id")
 
 
 def readings(spark: SparkSession, folder: str) -> DataFrame:

@@ -259,7 +259,7 @@ def meta_router(spark, folder):
     rows = VectorAssembler(inputCols=["good", "bad"], outputCol="features").transform(
         scores.withColumn("label", F.col("quality").cast("double"))
     )
-    model = learn.meta_router(rows, "label", minimum_leaf=10, trees=50)
+    model = learn.meta_router(rows, "label", minimum_leaf=10, trees=300)
     return learn.probability(model, rows, "p").select("doc_id", F.round("p", 4).alias("probability"))
 
 
@@ -274,8 +274,8 @@ def correctness_calibrator(spark, folder):
     texts = rows.select("case_id", metadata.alias("text"))
     tf = durable(tm.term_counts(texts, ["case_id"]))
     labels = rows.select("case_id", F.col("same_adjudication").alias("right"))
-    targets = {f"c_{n}": (F.col("right"), c) for n, c in (("low", 0.1), ("mid", 0.5), ("high", 8.0))}
-    scored = learn.out_of_fold(tf, labels, "case_id", targets, 3, 12000, "right")
+    targets = {f"c_{n}": (F.col("right"), c) for n, c in (("low", 0.1), ("mid", 0.5), ("more", 2.0), ("high", 8.0))}
+    scored = learn.out_of_fold(tf, labels, "case_id", targets, 3, 12000, "right", balance=False)
     error = {n: F.avg((F.col(n) - F.col("right").cast("double")) ** 2) for n in targets}
     row = scored.agg(*[F.round(e, 4).alias(n) for n, e in error.items()])
     return row.unpivot([], list(targets), "penalty", "brier")

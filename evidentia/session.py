@@ -44,13 +44,3 @@ def durable(df: DataFrame) -> DataFrame:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     return df.checkpoint(eager=True)
 
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a small scan one task per core.
-
-    A file of a single row group is one task however many cores are idle. A
-    scan that already has as many partitions as cores is returned unchanged,
-    so large inputs never pay for this shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
