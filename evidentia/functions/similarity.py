@@ -149,19 +149,19 @@ def window_scores(options: dict[str, str], floor: float):
     return score
 
 
-def best_window(floor: float = 0.0):
-    """UDF: best similarity of a target over the runs of words of a text.
+def best_windows(floor: float = 0.0):
+    """UDF: for each target of an array, the best similarity over the runs of words of a text.
 
     Runs have a word less than the target to a word more, whatever its length.
     """
 
-    @F.pandas_udf(T.DoubleType())
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def score(targets: pd.Series, texts: pd.Series) -> pd.Series:
         ratio = make_ratio()
         seen: dict[tuple[str, str], float] = {}
 
         def best(target, text):
-            if target is None or text is None:
+            if target is None:
                 return None
             words, size = text.split(" "), len(target.split(" "))
             top = 0.0
@@ -173,7 +173,7 @@ def best_window(floor: float = 0.0):
                     top = max(top, seen[pair])
             return top
 
-        return pd.Series([best(t, x) for t, x in zip(targets, texts)], dtype="float64")
+        return pd.Series([None if t is None or x is None else [best(y, x) for y in t] for t, x in zip(targets, texts)])
 
     return score
 

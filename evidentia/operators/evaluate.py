@@ -251,18 +251,23 @@ def classify_misses(
     ``texts`` holds readings of a case; the expected value is looked up in
     each and folded with max, so texts are never concatenated per case.
     """
-    wanted = misses.select("case_id", "field", "expected_key")
+    keys = F.collect_list(F.struct("field", F.nullif("expected_key", F.lit("")).alias("key")))  # one for each field at most
+    wanted = misses.groupBy("case_id").agg(keys.alias("wanted"))
     visible = texts.select("case_id", tx.anchor_text(F.col("text")).alias("visible"))
-    pairs = wanted.join(visible, "case_id")
-    exact = (F.col("expected_key") != "") & F.contains("visible", F.col("expected_key"))
+    rows = wanted.join(visible, "case_id")
+    exact = F.transform("wanted", lambda w: F.coalesce(F.contains(F.col("visible"), w["key"]), F.lit(False)))
+    rows = rows.withColumn("exact", exact)
+    none = F.transform("wanted", lambda w: F.lit(0.0))
     if similarity_scores:
-        score = similarity.best_window()(
-            F.when(~exact & (F.col("expected_key") != ""), F.col("expected_key")), F.col("visible")
-        )
-        score = F.when(exact, 1.0).otherwise(F.coalesce(F.round(score, 4), F.lit(0.0)))
+        left = F.zip_with("wanted", "exact", lambda w, e: F.when(~e, w["key"]))
+        rows = rows.withColumn("scores", F.coalesce(similarity.best_windows()(left, F.col("visible")), none))
     else:
-        score = F.when(exact, 1.0).otherwise(0.0)
-    found = pairs.groupBy("case_id", "field").agg(
+        rows = rows.withColumn("scores", none)
+    facts = rows.select("case_id", F.explode(F.arrays_zip("wanted", "exact", "scores")).alias("f"))
+    facts = facts.select("case_id", "f.wanted.field", "f.exact", F.coalesce(F.round("f.scores", 4), F.lit(0.0)).alias("score"))
+    exact = F.col("exact")
+    score = F.when(exact, 1.0).otherwise(F.col("score"))
+    found = facts.groupBy("case_id", "field").agg(
         F.bool_or(exact).alias("exact_visible"), F.max(score).alias("best_similarity")
     )
     joined = misses.join(found, ["case_id", "field"], "left")

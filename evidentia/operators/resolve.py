@@ -33,22 +33,21 @@ def singleton(value: str | Column) -> Column:
     return F.when(F.min(column) == F.max(column), F.min(column))
 
 
-def mode_without_tie(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
-    """Most frequent value per key, '' when two values share the top count."""
-    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    top, bottom = F.max(F.struct("n", value)), F.min(F.struct((-F.col("n")).alias("n"), value))
+def modes(value: str) -> tuple[Column, Column]:
+    """Aggregates over (reads, value) rows that :func:`mode_of` reads."""
     return (
-        counted.groupBy(*keys)
-        .agg(top.alias("top"), bottom.alias("bottom"))
-        .select(
-            *keys,
-            F.when(F.col(f"top.{value}") == F.col(f"bottom.{value}"), F.col(f"top.{value}"))
-            .otherwise("")
-            .alias(alias),
-        )
+        F.max(F.struct("reads", F.col(value).alias("value"))).alias("mode"),
+        F.min(F.struct((-F.col("reads")).alias("reads"), F.col(value).alias("value"))).alias("mode_rival"),
     )
 
 
+def mode_without_tie(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
+    """Most frequent value per key, '' when two values share the top count."""
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("reads"))
+    packed = counted.groupBy(*keys).agg(*modes(value)).select(*keys, F.struct("mode", "mode_rival").alias("s"))
+    return packed.select(*keys, F.coalesce(mode_of(F.col("s")), F.lit("")).alias(alias))
+
+
 def precedence_winner(weight: str, source: str, order: list[str], value: str) -> Column:
     """Value of highest (weight, source); among equals the earliest emitted."""
     return F.max_by(
@@ -87,8 +86,7 @@ def fact_summary(values: DataFrame, keys: list[str], policy: Policy = DEFAULT) -
             F.struct((-F.col("sources")).alias("sources"), (-F.col("reads")).alias("reads"), "value")
         ).alias("rival"),
         F.max(F.struct("sources", "reads", "value")).alias("peak"),
-        F.max(F.struct("reads", "value")).alias("mode"),
-        F.min(F.struct((-F.col("reads")).alias("reads"), "value")).alias("mode_rival"),
+        *modes("value"),
         F.max_by("value", "best").alias("preferred"),
         F.bit_or(adverse).alias("adverse"),
         F.max(F.when(F.col("value") == "none", F.col("biometric"))).alias("biometric_none"),
@@ -171,13 +169,7 @@ def finding_resolution(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.bool_or(F.col("note") == "DENIED").alias("denied"),
         F.bool_or(F.col("note") == "NEEDS_REVIEW").alias("review"),
     )
-    chosen = (
-        F.when(F.col("low") == F.col("high"), F.col("low"))
-        .when(F.col("low").isNotNull(), F.lit("NEEDS_REVIEW"))
-        .when(F.col("denied"), F.lit("DENIED"))
-        .when(F.col("review"), F.lit("NEEDS_REVIEW"))
-        .otherwise("")
-    )
+    chosen, _ = finding(F.struct("low", "high"), F.col("denied"), F.col("review"))
     return agg.select(*keys, chosen.alias("finding"))
 
 

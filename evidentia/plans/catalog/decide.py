@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from evidentia import policy as fixed
 from evidentia.operators import decide as op
-from evidentia.plans import bindings as src
+from evidentia.plans import adjudicate as plan, bindings as src
 from evidentia.plans.catalog import Catalog
 
 catalog = Catalog()
@@ -169,10 +169,7 @@ def risk_denial_recovery(spark, folder):
 )
 def learned_overrides(spark, folder):
     rows = src.bind(spark, folder, src.PREDICTIONS).withColumns({n: F.expr(v) for n, v in SCORES.items()})
+    rows = rows.withColumns({"first": F.col("adjudication"), "confidence": F.lit(0.0)})
     still_open = (F.col("adjudication") == "NEEDS_REVIEW") & (F.col("k") % 41 != 5)
-    final = (
-        F.when(still_open & (F.col("denial") >= 0.5), "DENIED")
-        .when(still_open & (F.col("approval") >= 0.9), "APPROVED")
-        .otherwise(F.col("adjudication"))
-    )
-    return rows.groupBy("adjudication", final.alias("final")).agg(F.count(F.lit(1)).alias("cases"))
+    rows = plan.settle(rows, still_open, (F.col("denial") >= 0.5, "DENIED", 0.87), (F.col("approval") >= 0.9, "APPROVED", 0.97))
+    return rows.groupBy(F.col("first").alias("adjudication"), F.col("adjudication").alias("final")).agg(F.count(F.lit(1)).alias("cases"))

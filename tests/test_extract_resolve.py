@@ -254,3 +254,46 @@ def test_pipeline_order(spark):
     assert (f.visa_class, f.fee_status, f.risk_flags, f.adjudication) == ("MED-3", "waived", "biohazard_red", "DENIED")
     # a packet without any fact still has a record
     assert got["G"].adjudication == "NEEDS_REVIEW" and got["G"].applicant_name == "unknown"
+
+
+def test_labels_that_only_start_like_a_name_label(spark):
+    texts = ["applicant names foo bar", "Applicant name foo bar", "applicant named foo", "applicnt ann lee"]
+    rows = extract.approximate_applicants(one_page(spark, texts), F.col("text")).select("case_id", "approximate").collect()
+    got = {r.case_id: r.approximate for r in rows}
+    assert got == {"C0": ["Names Foo"], "C1": ["Foo Bar"], "C2": ["Named Foo"], "C3": ["Ann Lee"]}
+
+
+def test_pairs_of_words_of_any_length(spark, values):
+    long = "x" + "-'" * 60 + "y"
+    first = values(lambda c: extract.name_pairs(c)[0], [f"{long} Ab, cd\nEf", "one", ""])
+    second = values(lambda c: extract.name_pairs(c)[1], [f"{long} Ab, cd\nEf", "one", ""])
+    assert first == [[long, "Ab"], [], []] and second == [["Ab", "cd"], [], []]
+
+
+def test_windows_follow_the_length_of_the_missed_value(spark):
+    from difflib import SequenceMatcher
+
+    from evidentia.functions import similarity
+
+    targets = ["a bb ccc dddd eeeee ffffff", "one two three four five six seven eight", "solo"]
+    text = "zz a bb ccc dddx eeeee ffffff one two three four fiv six seven eight sola"
+    df = spark.createDataFrame([(targets, text)], "t array<string>, x string")
+    got = df.select(similarity.best_windows()("t", "x").alias("s")).first().s
+    near = ["a bb ccc dddx eeeee ffffff", "one two three four fiv six seven eight", "sola"]
+    assert all(g >= SequenceMatcher(None, t, n).ratio() - 1e-9 for g, t, n in zip(got, targets, near))
+    assert min(got[:2]) > 0.95
+
+
+def test_damaged_years_are_policy(spark, values):
+    other = Policy(misread_year=("2031", "2037"))
+    from evidentia.functions import fields
+
+    assert values(lambda c: fields.damaged_dates(c, other), ["Arrival Date 2031-08-09", "Arrival Date 2028-08-09"]) == [["2037-06-09"], []]
+
+
+def test_rows_without_a_score_keep_their_place(spark):
+    from evidentia.operators import rank
+
+    df = spark.createDataFrame([(1, 0.5), (2, None), (3, 0.9)], "id int, s double")
+    got = {r.id: r.p for r in rank.average_rank(df, "s", "p").collect()}
+    assert got == {1: 0.5, 2: None, 3: 1.0}
