@@ -26,7 +26,6 @@ before it that its windows need.
 from __future__ import annotations
 
 import struct
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -254,14 +253,14 @@ def _all_anchors(how: Repeats):
     return run
 
 
-_RUNS = "part long, run binary, doc_id long, start int, stop int, window_hash long"
-_FOUND = "doc_id long, start int, stop int, window_hash long"
+_FOUND = "doc_id long, start int, stop int"
+_RUNS = "part long, run binary, " + _FOUND
 
 
 def _write_runs(how: Repeats, parts: int):
-    """Front-coded runs by part, intervals decided within the task, and windows of hot grams."""
+    """Front-coded runs by part, and intervals decided within the task."""
     schema = pa.schema(
-        [("part", pa.int64()), ("run", pa.binary()), ("doc_id", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("window_hash", pa.int64())]
+        [("part", pa.int64()), ("run", pa.binary()), ("doc_id", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())]
     )
 
     def batch_of(**columns):
@@ -307,12 +306,6 @@ def _write_runs(how: Repeats, parts: int):
                 for place, first, last, h in zip(*[x[chosen[~hot]].tolist() for x in found]):
                     rows[h % parts].append((suffix_of(text, place, first, last, how.window), doc, place, first, last))
                     held += 1
-                for first, last in zip(*[x[chosen[hot]].tolist() for x in found[1:3]]):
-                    starts = np.arange(first, last + 1)
-                    views = np.lib.stride_tricks.sliding_window_view(data, how.window)[first : last + 1]
-                    powers = np.array([pow(int(_ODD[0]), j, 1 << 64) for j in range(how.window)], np.uint64)
-                    hashes = (_BYTES[views] * powers).sum(1, dtype=np.uint64).view(np.int64)
-                    yield batch_of(part=hashes % parts, doc_id=[doc] * len(starts), window_hash=hashes, start=starts.astype(np.int32))
                 if held > 400_000:
                     yield from runs(rows)
                     held = 0
@@ -321,13 +314,31 @@ def _write_runs(how: Repeats, parts: int):
     return run
 
 
+def _hot_windows(how: Repeats):
+    """Every window whose anchor's gram is hot, by hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = np.array([pow(int(_ODD[0]), j, 1 << 64) for j in range(how.window)], np.uint64)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                data = np.frombuffer(batch["text"][row].as_py().encode("utf-8", "surrogatepass"), np.uint8)
+                hot = np.array(batch["numbers"][row].as_py(), np.int64)[np.array(batch["hot"][row].as_py(), bool)]
+                views = np.lib.stride_tricks.sliding_window_view(data, how.window)
+                for first, last in zip(*[x[hot].tolist() for x in anchors(data, how)[1:3]]):
+                    hashes = (_BYTES[views[first : last + 1]] * powers).sum(1, dtype=np.uint64).view(np.int64)
+                    starts = np.arange(first, last + 1, dtype=np.int32)
+                    docs = np.full(len(starts), batch["doc_id"][row].as_py(), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(starts), pa.array(hashes)], ["doc_id", "start", "window_hash"])
+
+    return run
+
+
 def _merge_runs(how: Repeats):
     """Intervals that repeat, from all runs of a partition; other rows pass through."""
 
     def out(docs, starts, stops):
         return pa.RecordBatch.from_arrays(
-            [pa.array(docs, pa.int64()), pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.nulls(len(docs), pa.int64())],
-            ["doc_id", "start", "stop", "window_hash"],
+            [pa.array(docs, pa.int64()), pa.array(starts, pa.int32()), pa.array(stops, pa.int32())], ["doc_id", "start", "stop"]
         )
 
     def partial(suffixes, where):
@@ -346,7 +357,7 @@ def _merge_runs(how: Repeats):
             blobs += [r for r in batch["run"].to_pylist() if r is not None]
             rest = batch.filter(batch["run"].is_null())
             if rest.num_rows:
-                yield rest.select(["doc_id", "start", "stop", "window_hash"])
+                yield rest.select(["doc_id", "start", "stop"])
         whole: tuple[list, list, list] = ([], [], [])
         suffixes: list[bytes] = []
         where: list[tuple] = []
@@ -395,13 +406,13 @@ def repeated_intervals(docs: DataFrame, how: Repeats = Repeats(), parts: int | N
     chosen = every.join(frequent, "h").select("doc_id", F.struct("number", (F.col("df") > how.hot).alias("hot")).alias("a"))
     chosen = chosen.groupBy("doc_id").agg(F.array_sort(F.collect_list("a")).alias("a"))
     chosen = chosen.select("doc_id", F.col("a.number").alias("numbers"), F.col("a.hot").alias("hot"))
-    rows = long.join(chosen, "doc_id").select("doc_id", "text", "numbers", "hot").mapInArrow(_write_runs(how, parts), _RUNS)
-    found = stored(rows.repartition(parts, "part").mapInArrow(_merge_runs(how), _FOUND))
-    hot = found.where("window_hash is not null").select("doc_id", "start", "window_hash")
+    rows = long.join(chosen, "doc_id").select("doc_id", "text", "numbers", "hot")
+    runs = rows.mapInArrow(_write_runs(how, parts), _RUNS)
+    found = runs.repartition(parts, "part").mapInArrow(_merge_runs(how), _FOUND)
+    hot = rows.where(F.exists("hot", lambda x: x)).mapInArrow(_hot_windows(how), "doc_id long, start int, window_hash long")
     first = hot.groupBy("window_hash").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("f")).where("n > 1")
     late = hot.join(first, "window_hash").where((F.col("f.doc_id") != F.col("doc_id")) | (F.col("f.start") != F.col("start")))
-    late = late.select("doc_id", "start", (F.col("start") + how.window).alias("stop"))
-    return found.where("window_hash is null").select("doc_id", "start", "stop").unionByName(late)
+    return found.unionByName(late.select("doc_id", "start", (F.col("start") + how.window).alias("stop")))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -436,17 +447,15 @@ def without_repeats(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     addressed = rows.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
-    long = (F.octet_length("text") >= how.window) & F.col("doc_id").isNotNull()
+    long = (F.octet_length("text") >= how.window) & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("digest").isNotNull()
     narrow = stored(addressed.where(long).select("doc_id", "digest"))
     own = narrow.groupBy("doc_id").agg(F.min("digest").alias("digest"), F.count("*").alias("times"))
     first = own.groupBy("digest").agg(F.min("doc_id").alias("first"))
     own = stored(own.join(first, "digest"))
     copies = own.where("doc_id <> first").select("doc_id", "digest", F.lit(True).alias("copy"))
-    # one shuffle of the texts: buckets by doc_id serve both joins below
-    table = f"llm_repeats_{uuid.uuid4().hex}"
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    addressed.repartition(buckets, "doc_id").write.bucketBy(buckets, "doc_id").format("parquet").option("compression", "zstd").saveAsTable(table)
-    texts = spark.table(table)
+    # one shuffle of the texts: the joins below and the cut all read this exchange
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    texts = addressed.where(long).repartition(parts, "doc_id")
     sources = own.where("doc_id = first").select("doc_id", F.col("digest").alias("wanted"), "times")
     source = texts.join(sources, "doc_id").where("digest = wanted").select("doc_id", "text", "times")
     if own.where("times > 1").limit(1).count():
@@ -455,13 +464,16 @@ def without_repeats(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     found = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("i"))
     found = found.join(own.select("doc_id", F.col("digest").alias("wanted"), "first").where("doc_id = first").drop("first"), "doc_id")
     whole = copies.select("doc_id", F.array(F.struct(F.lit(0).alias("start"), F.lit(2**31 - 1).alias("stop"))).alias("i"), F.col("digest").alias("wanted"))
-    found = stored(found.select("doc_id", "i", "wanted").unionByName(whole))
+    found = found.select("doc_id", "i", "wanted").unionByName(whole)
     joined = texts.join(found, "doc_id", "left")
     mine = F.when(F.col("digest") == F.col("wanted"), F.col("i"))
     limit = lambda c: F.transform(mine, lambda x: F.least(x[c], F.octet_length("text")))
-    return joined.select("doc_id", "text", limit("start").alias("starts"), limit("stop").alias("stops")).mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    )
+    cut = joined.select("doc_id", "text", limit("start").alias("starts"), limit("stop").alias("stops"))
+    none = F.lit(None).cast("array<int>")
+    rest = rows.where(~F.coalesce((F.octet_length("text") >= how.window) & F.col("doc_id").isNotNull(), F.lit(False)))
+    rest = rest.select("doc_id", "text", none.alias("starts"), none.alias("stops"))
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+    return cut.mapInArrow(_cut, schema).unionByName(rest.mapInArrow(_cut, schema))
 
 
 def digest(rows: DataFrame) -> DataFrame:
