@@ -14,10 +14,9 @@ them all. Steps:
 3. In each list a leader (the node with the fewest values of its own) is paired
    with the members: linear in the list. Pairs are filtered by the estimate
    from the union sketch and confirmed on the full shingle sets.
-4. Members that are not connected to their leader by then are paired with the
-   members of other components in their lists, under exact bounds from sizes
-   and from values that occur in one node only. No pair that could be a link
-   and joins two components is left out.
+4. Lists that then still hold two components are settled on full sets: prefix
+   lists again, with a positional bound, only between components. No pair that
+   could be a link and joins two components is left out.
 5. Connected components by alternating star contractions.
 
 Groups of copies and near copies thus cost links in proportion to their size.
@@ -131,6 +130,44 @@ def inverted_lists(sketches: DataFrame, how: Links) -> DataFrame:
     return lists.select(F.col("x.v").alias("v"), "doc_id", "n", "u")
 
 
+def across_components(nodes: DataFrame, how: Links) -> DataFrame:
+    """Pairs (a, b) of different components that may be links, for (doc_id, values, component) with full sets.
+
+    Prefix lists on full sets, rare values first, with the position of the
+    value in each set: a pair need only be met at the first value it shares, and
+    there at most the values from that position on are common. A member apart
+    from its list's main component differs from the core in more than the
+    threshold allows, so it falls to this bound in the long lists.
+    """
+    sized = nodes.withColumn("n", F.size("values"))
+    postings = sized.select("doc_id", F.explode("values").alias("v"))
+    frequent = postings.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
+    orders = postings.join(frequent, "v").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("s"))
+    orders = orders.join(sized.select("doc_id", "n", "component"), "doc_id").withColumn("own", F.col("n") - F.size("s"))
+    least = F.ceil(how.percent * F.col("n") / 100)
+    orders = orders.withColumn("prefix", (F.col("n") - least + 1 - F.col("own")).cast("int")).where("prefix > 0")
+    lists = orders.select("doc_id", "n", "component", "own", F.posexplode(F.slice("s", F.lit(1), F.col("prefix"))).alias("i", "x"))
+    lists = lists.select(F.col("x.v").alias("v"), "doc_id", "n", "component", (F.col("own") + F.col("i")).alias("before"))
+    lists = stored(lists)
+    heads = lists.groupBy("v").agg(
+        F.min(F.struct("before", "doc_id", "component")).alias("h"), F.min("n").alias("shortest"),
+        F.min("component").alias("low"), F.max("component").alias("high"),
+    ).where("low <> high").select("v", F.col("h.component").alias("main"), "shortest")
+    lists = lists.join(heads, "v")
+    needed = lambda n1, n2: how.percent * (n1 + n2)
+    left = (100 + how.percent) * (F.col("n") - F.col("before"))
+    apart = lists.where((F.col("component") != F.col("main")) & (left >= needed(F.col("n"), F.greatest("shortest", least))))
+    apart = apart.select("v", *[F.col(c).alias(f"r_{c}") for c in ("doc_id", "n", "component", "before")])
+    r_left = (100 + how.percent) * (F.col("r_n") - F.col("r_before"))
+    met = apart.join(lists, "v").where(
+        (F.col("r_component") != F.col("component"))
+        & ((F.col("component") == F.col("main")) | (F.col("r_doc_id") < F.col("doc_id")))
+        & (100 * F.least("n", "r_n") >= how.percent * F.greatest("n", "r_n"))
+        & (F.least(left, r_left) >= needed(F.col("n"), F.col("r_n")))
+    )
+    return met.select(F.least("r_doc_id", "doc_id").alias("a"), F.greatest("r_doc_id", "doc_id").alias("b")).distinct()
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, how: Links) -> DataFrame:
     """The pairs (a, b) that reach the threshold: union-sketch estimate first, then the full sets."""
     one = lambda x: sets.select(F.col("doc_id").alias(x), F.col("values").alias(f"{x}_set"))
@@ -204,13 +241,10 @@ def near_duplicates(docs: DataFrame, how: Links = Links()) -> DataFrame:
     found = components(links)
 
     named = found.withColumnRenamed("node", "doc_id")
-    labelled = stored(lists.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
-    first = labelled.groupBy("v").agg(F.min(F.struct("u", "doc_id", "component")).alias("l")).select("v", F.col("l.component").alias("main"))
-    labelled = labelled.join(first, "v")
-    rest = labelled.where("component <> main").select("v", *[F.col(c).alias(f"r_{c}") for c in ("doc_id", "n", "u", "component")])
-    across = rest.join(labelled, "v").where("r_component <> component and (component = main or r_doc_id < doc_id)")
-    across = across.where(_possible(how, "r_", "")).select(F.least("r_doc_id", "doc_id").alias("a"), F.greatest("r_doc_id", "doc_id").alias("b"))
-    across = across.distinct().join(tried, ["a", "b"], "left_anti")
+    labelled = lists.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    split = labelled.groupBy("v").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    open_nodes = stored(labelled.join(split.select("v"), "v", "left_semi").select("doc_id", "component").distinct())
+    across = across_components(sets.join(open_nodes, "doc_id"), how).join(tried, ["a", "b"], "left_anti")
     more = stored(confirmed(across, sets, how))
     if more.limit(1).count():
         found = components(links.union(more))
