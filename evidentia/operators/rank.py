@@ -10,9 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-RANGES = 64
-
-
 def top_two(scores: Column) -> tuple[Column, Column]:
     """Best and margin of an array of (score, value) structs; ties go to the later value."""
     ranked = F.sort_array(scores, asc=False)
@@ -26,20 +23,35 @@ def first_n(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
 
 
 def _range_of(column: str, edges: list) -> Column:
-    bucket = F.lit(0)
-    for edge in edges:
-        bucket = bucket + F.when(F.col(column) > F.lit(edge), 1).otherwise(0)
-    return bucket
+    """Edges below the value: its place among them."""
+    if not edges:
+        return F.lit(0)
+    value = F.col(column).cast("double")
+    every = F.array_sort(F.array_append(F.array(*[F.lit(float(e)) for e in edges]), value))
+    return (F.array_position(every, value) - 1).cast("int")
+
+
+def top_candidates(df: DataFrame, order: list, n: int) -> DataFrame:
+    """The first ``n`` rows in a lexicographic order; each task keeps ``n`` at most."""
+    return df.orderBy(*order).limit(n)
+
+
+def middle(*columns: Column) -> Column:
+    """Median of several numbers of a row."""
+    ranked, n = F.array_sort(F.array(*columns)), len(columns)
+    return (ranked[(n - 1) // 2] + ranked[n // 2]) / 2
 
 
 def running_sums(
-    histogram: DataFrame, score: str, sums: list[str], descending: bool = False, ranges: int = RANGES
+    histogram: DataFrame, score: str, sums: list[str], descending: bool = False, ranges: int | None = None
 ) -> DataFrame:
     """Adds ``cum_<name>``: totals over all scores up to and including each one.
 
     ``histogram`` has one row per distinct score. The range edges are at most
-    ``ranges`` numbers and the range totals at most as many rows.
+    ``ranges`` numbers (one for each shuffle partition unless given) and the
+    range totals at most as many rows.
     """
+    ranges = ranges or max(2, int(histogram.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     steps = [i / ranges for i in range(1, ranges)]
     edges = sorted(set(histogram.approxQuantile(score, steps, 0.01)))
     ranged = histogram.withColumn("_range", _range_of(score, edges))

@@ -15,8 +15,6 @@ from evidentia.functions import text as tx
 
 GRAM_SIZES = (3, 4, 5)
 LOGIT_CLAMP = 40.0
-# Weight tables above this many rows are joined without a broadcast hint.
-BROADCAST_ROWS = 200_000
 
 WEIGHTS = T.StructType(
     [
@@ -59,8 +57,8 @@ class Models:
 # -- features --------------------------------------------------------------
 
 
-def char_ngrams(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """One row per n-gram occurrence within space-padded words.
+def char_ngrams(texts: DataFrame, keys: list[str], text: str = "text", sizes: tuple[int, ...] = GRAM_SIZES) -> DataFrame:
+    """One row per n-gram occurrence within space-padded words; sizes of two or more.
 
     Two plain explodes and substrings, so the expansion stays in generated
     code; nothing is shuffled here.
@@ -70,11 +68,11 @@ def char_ngrams(texts: DataFrame, keys: list[str], text: str = "text") -> DataFr
         *keys, F.concat(F.lit(" "), "word", F.lit(" ")).alias("p")
     )
     starts = padded.select(
-        *keys, "p", F.explode_outer(F.sequence(F.lit(1), F.length("p") - 2)).alias("i")
+        *keys, "p", F.explode_outer(F.sequence(F.lit(1), F.greatest(F.length("p") - (min(sizes) - 1), F.lit(1)))).alias("i")
     )
     grams = [
         F.when(F.col("i") + (n - 1) <= F.length("p"), F.substring(F.col("p"), F.col("i"), F.lit(n)))
-        for n in GRAM_SIZES
+        for n in sizes
     ]
     return starts.select(*keys, F.explode(F.array(*grams)).alias("token")).filter(
         F.col("token").isNotNull()
@@ -85,6 +83,31 @@ def term_counts(texts: DataFrame, keys: list[str], text: str = "text") -> DataFr
     return char_ngrams(texts, keys, text).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def word_ngrams(texts: DataFrame, keys: list[str], text: str = "text", sizes: tuple[int, ...] = (1, 2)) -> DataFrame:
+    """One row per run of ``n`` words of the masked text, for each size."""
+    words = F.filter(F.split(tx.mask_digits(F.col(text)), " "), lambda w: w != "")
+    rows = texts.select(*keys, words.alias("w"))
+
+    def run_of(n: int):
+        return lambda x, i: F.array_join(F.slice("w", i + 1, n), " ")
+
+    runs = [
+        F.when(
+            F.size("w") >= n,
+            F.transform(F.slice("w", 1, F.greatest(F.size("w") - n + 1, F.lit(0))), run_of(n)),
+        ).otherwise(F.array().cast("array<string>"))
+        for n in sizes
+    ]
+    return rows.select(*keys, F.explode(F.concat(*runs)).alias("token"))
+
+
+def hybrid_counts(texts: DataFrame, keys: list[str], chars: tuple[int, ...] = (2, 3, 4, 5, 6), words: tuple[int, ...] = (1, 2), text: str = "text") -> DataFrame:
+    """Term counts over character and word n-grams in one vocabulary: tokens are told apart by a prefix."""
+    c = char_ngrams(texts, keys, text, chars).withColumn("token", F.concat(F.lit("c:"), "token"))
+    w = word_ngrams(texts, keys, text, words).withColumn("token", F.concat(F.lit("w:"), "token"))
+    return c.unionByName(w).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("tf"))
+
+
 def document_frequencies(counts: DataFrame) -> DataFrame:
     """Texts and occurrences per token; ``counts`` holds a text's token once."""
     return counts.groupBy("token").agg(
@@ -133,8 +156,6 @@ def raw_scores(texts: DataFrame, keys: list[str], models: dict[str, Model], text
     weights = tables[0]
     for table in tables[1:]:
         weights = weights.unionAll(table)
-    if sum(m.max_features for m in models.values()) <= BROADCAST_ROWS:
-        weights = F.broadcast(weights)
     known = char_ngrams(texts, keys, text).join(weights, "token")
     counted = known.groupBy(*keys, "model", "token").agg(
         F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"), F.first("coefs").alias("coefs")

@@ -47,6 +47,28 @@ def char_ngrams(spark, folder):
     )
 
 
+_HYBRID = (
+    f"with w as (select doc_id, list_filter(string_split({q.mask('text')}, ' '), lambda x: x <> '') as w from documents), "
+    "p as (select doc_id, ' ' || unnest(w) || ' ' as p from w), "
+    "c as (select doc_id, 'c:' || unnest(flatten(list_transform(range(2, 7), lambda n: case when length(p) >= n then "
+    "list_transform(range(1, length(p) - n + 2), lambda i: substring(p, i, n)) else [] end))) as token from p), "
+    "g as (select * from c union all select doc_id, 'w:' || unnest(w) from w union all "
+    "select doc_id, 'w:' || unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from w), "
+    "tf as (select doc_id, token, count(*) as tf from g group by all) "
+    "select doc_id, sum(tf)::bigint as grams, count(*) as distinct_grams, (count(*) filter (where starts_with(token, 'w:')))::bigint as word_grams from tf group by doc_id"
+)
+
+
+@catalog.add("hybrid_features", _HYBRID)
+def hybrid_features(spark, folder):
+    counted = tm.hybrid_counts(src.texts(spark, folder), ["doc_id"])
+    return counted.groupBy("doc_id").agg(
+        F.sum("tf").alias("grams"),
+        F.count(F.lit(1)).alias("distinct_grams"),
+        F.count_if(F.col("token").startswith("w:")).alias("word_grams"),
+    )
+
+
 @catalog.add("doc_freq_vocab", VOCAB + " select token, df, cf, round(idf, 6) as idf from v")
 def doc_freq_vocab(spark, folder):
     return vocabulary(spark, folder, counts(spark, folder)).withColumn("idf", F.round("idf", 6))

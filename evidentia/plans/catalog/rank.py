@@ -79,6 +79,23 @@ def avg_rank_percentile(spark, folder):
     )
 
 
+@catalog.add(
+    "median_rank_percentile",
+    "with e as (select event_id, value, user_id, event_id % 97 as m from events), "
+    + "r as (select event_id, "
+    + ", ".join(
+        f"(rank() over (order by {c}) + (count(*) over (partition by {c}) - 1) / 2.0) / count(*) over () as {a}"
+        for c, a in (("value", "a"), ("user_id", "b"), ("m", "c"))
+    )
+    + " from e) select event_id, round(list_median([a, b, c]), 6) as median_rank from r",
+)
+def median_rank_percentile(spark, folder):
+    events = src.table(spark, folder, "events").select("event_id", "value", "user_id", (F.col("event_id") % 97).alias("m"))
+    for column, alias in (("value", "a"), ("user_id", "b"), ("m", "c")):
+        events = op.average_rank(events, column, alias)
+    return events.select("event_id", F.round(op.middle(F.col("a"), F.col("b"), F.col("c")), 6).alias("median_rank"))
+
+
 _STATUS = {"F": "APPROVED", "O": "DENIED", "P": "NEEDS_REVIEW"}
 
 
@@ -201,6 +218,18 @@ def grid_route_utility(spark, folder):
     )
 
 
+_GRID_ORDER = "safe desc, least_gain desc, total_gain desc, minimum_complete, denial_max, approval_min, require_bio_none"
+
+
+@catalog.add(
+    "grid_top_candidates",
+    f"select * from ({catalog.checks['grid_route_utility']}) order by {_GRID_ORDER} limit 25",
+)
+def grid_top_candidates(spark, folder):
+    order = [F.desc(c.split()[0]) if " " in c else F.asc(c) for c in _GRID_ORDER.split(", ")]
+    return op.top_candidates(grid_route_utility(spark, folder), order, 25)
+
+
 _PROBS = (0.08, 0.15, 0.30, 0.50, 0.60, 0.80)
 _MARGINS = (0.0, 0.05, 0.10, 0.20, 0.30)
 _SCOPES = {

@@ -16,6 +16,7 @@ def get_session(app: str = "evidentia", master: str | None = None, partitions: i
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
