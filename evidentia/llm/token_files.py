@@ -16,6 +16,7 @@ shard, and only those (one number per task) pass the driver.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -105,20 +106,44 @@ class Codes:
         return out
 
 
+#: The vocabulary's own rule for pre-tokens, over characters that
+#: its normaliser only turns to lower case; words with others go in whole.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^a-z0-9À-ÖØ-öø-ÿ]+")
+_WORD_END = "</w>"
+
+
 class WordTokenizer:
-    """The ids of a text by its words: the pre-tokenizer never joins across white space."""
+    """The ids of a text by its words: the pre-tokenizer never joins across white space.
+
+    Words are cached; a new one is cut into its pre-tokens, and the library
+    encodes the pre-tokens that are new, many at a time.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        vocabulary = self.model.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for name, i in vocabulary.items() if name.endswith(_WORD_END)]] = True
+        self._parts: dict[str, bytes] = {}
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of pre-tokens, encoded as one text and cut behind each end of a word."""
+        ids = np.array(self.model.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(cuts) != len(parts):
+            return self._encode(parts)
+        data = ids.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip([0, *cuts], cuts)]
+
     def batch(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null is empty."""
         group: list[list[str]] = []
@@ -138,20 +163,38 @@ class WordTokenizer:
     def _group(self, group: list[list[str]]) -> Iterator[bytes]:
         if len(self._new) >= _KEEP:
             self._old, self._new = self._new, {}
-        own, fresh = {}, []
-        for word in set().union(*group):
-            got = self._new.get(word) or self._old.get(word)
+        new, old = self._new, self._old
+        fresh = []
+        for word in set().union(*group) - new.keys():
+            got = old.get(word)
             if got is None:
                 fresh.append(word)
             else:
-                own[word] = got
-                self._new[word] = got
-        for word, ids in zip(fresh, self._encode(fresh)):
-            own[word] = ids
-            if len(word) <= _LONGEST:
-                self._new[word] = ids
+                new[word] = got
+        self._learn(fresh)
         for words in group:
-            yield b"".join(map(own.__getitem__, words))
+            yield b"".join(map(new.__getitem__, words))
+        for word in fresh:
+            if len(word) > _LONGEST:
+                del new[word]
+
+    def _learn(self, words: list[str]) -> None:
+        cut, whole = [], []
+        for word in words:
+            if _PLAIN.fullmatch(word) and "<|" not in word:
+                cut.append((word, _PARTS.findall(word.lower())))
+            else:
+                whole.append(word)
+        self._new.update(zip(whole, self._encode(whole)))
+        known = self._parts
+        if len(known) >= _KEEP:
+            known.clear()
+        missing = list({p for _, parts in cut for p in parts if p not in known})
+        for at in range(0, len(missing), 20_000):
+            some = missing[at : at + 20_000]
+            known.update(zip(some, self._encode_parts(some)))
+        for word, parts in cut:
+            self._new[word] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
