@@ -39,6 +39,8 @@ from evidentia.llm.common import discard, stored
 
 #: Ids are broadcast up to this number of rows (16 MB of longs).
 BROADCAST_IDS = 2_000_000
+#: Documents in a batch of results.
+_ROWS = 200
 
 
 @dataclass(frozen=True)
@@ -81,13 +83,13 @@ def _sets(docs: DataFrame, how: Links, full: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch["text"].cast(pa.binary())
-            for at in range(0, batch.num_rows, 1000):
-                part = texts.slice(at, 1000).to_pylist()
+            for at in range(0, batch.num_rows, _ROWS):
+                part = texts.slice(at, _ROWS).to_pylist()
                 sets = [shingles(t or b"", how.words) for t in part]
                 kept = [s if full or len(s) <= how.whole else s[: how.k] for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch["doc_id"].slice(at, 1000),
+                        batch["doc_id"].slice(at, _ROWS),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
                         _arrays(kept),
