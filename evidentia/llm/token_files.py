@@ -30,7 +30,8 @@ from evidentia.llm.common import shared_folder
 
 _MAGIC = b"DAC1"
 _STEP = 512
-_KEEP, _LONGEST = 400_000, 48
+#: Cached words and pre-tokens, and the length of a cached word.
+_KEEP, _KEEP_PARTS, _LONGEST = 400_000, 1_000_000, 48
 #: A segment is closed after the document that fills it.
 SEGMENT_TOKENS = 1 << 20
 
@@ -109,6 +110,7 @@ class Codes:
 #: The vocabulary's own rule for pre-tokens, over characters that
 #: its normaliser only turns to lower case; words with others go in whole.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN_TEXT = re.compile("[ -~\t\n\rÀ-ÖØ-öø-ÿ]*")
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^a-z0-9À-ÖØ-öø-ÿ]+")
 _WORD_END = "</w>"
 
@@ -137,7 +139,7 @@ class WordTokenizer:
 
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
         """Ids of pre-tokens, encoded as one text and cut behind each end of a word."""
-        ids = np.array(self.model.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.model.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
         cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
         if len(cuts) != len(parts):
             return self._encode(parts)
@@ -150,9 +152,12 @@ class WordTokenizer:
         size = 0
         for text in texts:
             text = text or ""
-            # Python also splits at these four, the library does not: such a text is a single word
-            odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
-            words = [text] if odd else text.split()
+            if _PLAIN_TEXT.fullmatch(text) and "<|" not in text:
+                words = text.lower().split()  # as the normaliser does, so that fewer words differ
+            elif any(c in text for c in "\x1c\x1d\x1e\x1f"):
+                words = [text]  # Python also splits at these four, the library does not
+            else:
+                words = text.split()
             group.append(words)
             size += len(words)
             if size > 300_000:
@@ -165,7 +170,7 @@ class WordTokenizer:
             self._old, self._new = self._new, {}
         new, old = self._new, self._old
         fresh = []
-        for word in set().union(*group) - new.keys():
+        for word in [w for w in set().union(*group) if w not in new]:
             got = old.get(word)
             if got is None:
                 fresh.append(word)
@@ -187,7 +192,7 @@ class WordTokenizer:
                 whole.append(word)
         self._new.update(zip(whole, self._encode(whole)))
         known = self._parts
-        if len(known) >= _KEEP:
+        if len(known) >= _KEEP_PARTS:
             known.clear()
         missing = list({p for _, parts in cut for p in parts if p not in known})
         for at in range(0, len(missing), 20_000):
