@@ -1,11 +1,13 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 One model per language over character 4-grams. Counting is a Spark job over
-all training rows (counted per task, then added up); what reaches the driver is
-the table of distinct 4-grams, at most ``max_cells / languages`` of them: if
-the corpus holds more, the rarest are left to the lower orders, which is what
-interpolation is for. Lower orders use continuation counts, so they follow from
-the same table.
+all training rows (counted per task, then added up). Lower orders use
+continuation counts, so they follow from the table of distinct 4-grams. Up to
+``max_cells / languages`` of these the driver derives the model and broadcasts
+it. Beyond, Spark derives the same tables of all orders from all n-grams
+(:func:`spread`); only the values of the most frequent 4-grams are broadcast,
+and what a text has besides is looked up by joins (:func:`looked_up`). No
+n-gram is dropped, and results don't depend on ``max_cells``.
 
 The tables are sorted arrays of 64-bit hashes (a bijection of four UTF-16
 units, so no two n-grams collide) with a directory over the leading bits; every
@@ -20,14 +22,15 @@ the training rows, chosen by hash, at most about ``sample_rows``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from evidentia.llm.common import columns
+from evidentia.llm.common import columns, stored
 
 ORDER = 4
 UNKNOWN = "und"
@@ -118,9 +121,21 @@ class HashTable:
         return out
 
 
+@dataclass
+class Rest:
+    """Tables (key, v) of every order: log-probabilities of n-grams, log back-off weights of contexts."""
+
+    grams: dict[int, DataFrame] = field(default_factory=dict)
+    contexts: dict[int, DataFrame] = field(default_factory=dict)
+
+
 @dataclass
 class Model:
-    """Log-probabilities by order: n-gram table with a row of languages, contexts with back-off weights."""
+    """Log-probabilities by order: n-gram table with a row of languages, contexts with back-off weights.
+
+    With ``rest`` (tables of all n-grams, read by joins) the arrays hold only
+    the most frequent 4-grams.
+    """
 
     languages: list[str]
     grams: dict[int, tuple[HashTable, np.ndarray]] = field(default_factory=dict)
@@ -128,16 +143,21 @@ class Model:
     temperature: float = 1.0
     typical: np.ndarray | None = None
     slack: np.ndarray | None = None
+    rest: Rest | None = None
 
     def log_probabilities(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
         """Rows of log P(last character | the order - 1 before it), one column per language."""
         if order == 0:
             return np.full((len(keys), len(self.languages)), -16 * np.log(2), np.float32)
+        if order not in self.grams:
+            return self.log_probabilities(keys, 0)
         table, values = self.grams[order]
         row = table.find(keys)
-        out = values[row]
+        out = values[row] if len(values) else np.zeros((len(keys), len(self.languages)), np.float32)
         miss = np.flatnonzero(row < 0)
-        if len(miss):
+        if len(miss) and order not in self.contexts:
+            out[miss] = self.log_probabilities(keys[miss], 0)
+        elif len(miss):
             lower = keys[miss] & np.uint64((1 << 16 * (order - 1)) - 1)
             table, weights = self.contexts[order]
             seen = table.find(keys[miss] >> _UNIT)
@@ -145,8 +165,11 @@ class Model:
             out[miss] = back + self.log_probabilities(lower, order - 1)
         return out
 
-    def cross_entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(nats per character by language, characters, letters) of each text."""
+    def cross_entropies(self, texts: list[str | None], held_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(nats per character by language, characters, letters) of each text.
+
+        With ``held_only`` the 4-grams that the arrays lack count as 0 nats.
+        """
         total = np.zeros((len(texts), len(self.languages)))
         size, letters = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         for rows, pieces in segments(texts):
@@ -156,16 +179,36 @@ class Model:
             first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             rows = np.asarray(rows)[owner[first]]
             if self.languages:
-                np.add.at(total, rows, np.add.reduceat(self.log_probabilities(keys), first, axis=0, dtype=np.float64))
+                values = self.held(keys) if held_only else self.log_probabilities(keys)
+                np.add.at(total, rows, np.add.reduceat(values, first, axis=0, dtype=np.float64))
             np.add.at(size, rows, np.diff(np.r_[first, len(owner)]))
             np.add.at(letters, rows, np.add.reduceat(letter.astype(np.int64), first))
         return -total / np.maximum(size, 1)[:, None], size, letters
 
+    def held(self, keys: np.ndarray) -> np.ndarray:
+        table, values = self.grams[ORDER]
+        row = table.find(keys)
+        out = np.zeros((len(keys), len(self.languages)), np.float32)
+        out[row >= 0] = values[row[row >= 0]]
+        return out
+
+    def missing(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct 4-grams of a text that the arrays lack, and how often it has them."""
+        found, times = np.empty(0, np.uint64), np.empty(0, np.int64)
+        for _, pieces in segments([text]):
+            keys, _, _ = ngrams(pieces)
+            keys, n = np.unique(keys[self.grams[ORDER][0].find(keys) < 0], return_counts=True)
+            found, inverse = np.unique(np.r_[found, keys], return_inverse=True)
+            times = np.bincount(inverse, np.r_[times, n], len(found)).astype(np.int64)
+        return found, times
+
     def predict(self, texts: list[str | None]) -> pd.DataFrame:
-        entropy, size, letters = self.cross_entropies(texts)
+        return self.judge(*self.cross_entropies(texts))
+
+    def judge(self, entropy: np.ndarray, size: np.ndarray, letters: np.ndarray) -> pd.DataFrame:
         known = (letters > 0) & (len(self.languages) > 0)
         if not self.languages:
-            entropy = np.zeros((len(texts), 1))
+            entropy = np.zeros((len(size), 1))
         best = entropy.argmin(1)
         lowest = entropy[np.arange(len(best)), best]
         score = 1 / np.exp((lowest[:, None] - entropy) * self.scale(size)[:, None]).sum(1)
@@ -249,13 +292,99 @@ def kneser_ney(languages: list[str], keys: np.ndarray, counts: np.ndarray) -> Mo
     return model
 
 
+def spread(languages: list[str], counted: DataFrame) -> tuple[DataFrame, Rest]:
+    """((key, total, v) of the 4-grams, tables of all orders): :func:`kneser_ney` in Spark, over every n-gram of ``counted``."""
+    each = range(len(languages))
+    units = lambda count: F.lit((1 << 16 * count) - 1).cast("long")
+    n = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)) for x in languages]
+    tables = {ORDER: stored(counted.groupBy("key").agg(F.array(*n).alias("n")))}
+    kinds = lambda: F.array(*[F.count_if(F.col("n")[i] > 0) for i in each])
+    for order in range(ORDER - 1, 0, -1):
+        lower = F.col("key").bitwiseAND(units(order)).alias("key")
+        tables[order] = stored(tables[order + 1].select(lower, "n").groupBy("key").agg(kinds().alias("n")))
+    rest, below, grams = Rest(), None, None
+    for order in range(1, ORDER + 1):
+        held = [F.count_if(F.col("n")[i] == k) for k in (1, 2) for i in each]
+        seen = tables[order].agg(F.array(*held)).first()[0]
+        discount = [a / (a + 2 * b) if a and b else 0.5 for a, b in zip(seen[: len(languages)], seen[len(languages) :])]
+        rows = tables[order].withColumn("head", F.shiftrightunsigned("key", 16)).withColumn("tail", F.col("key").bitwiseAND(units(order - 1)))
+        heads = rows.groupBy("head").agg(F.array(*[F.sum(F.col("n")[i]) for i in each]).alias("total"), kinds().alias("kinds"))
+        weight = [F.when(F.col("total")[i] > 0, F.lit(discount[i]) * F.col("kinds")[i] / F.col("total")[i]).otherwise(1.0) for i in each]
+        heads = stored(heads.select("head", "total", F.array(*weight).alias("weight")))
+        rest.contexts[order] = heads.select(F.col("head").alias("key"), F.transform("weight", lambda w: F.log(w)).alias("v"))
+        rows = rows.join(heads, "head")
+        if below is None:
+            rows = rows.withColumn("lower", F.array_repeat(F.lit(2.0**-16), len(languages)))
+        else:
+            rows = rows.join(below.select(F.col("key").alias("tail"), F.transform("v", lambda x: F.exp(x)).alias("lower")), "tail")
+        value = [
+            F.log(F.greatest(F.col("n")[i] - F.lit(discount[i]), F.lit(0.0)) / F.greatest(F.col("total")[i], F.lit(1)) + F.col("weight")[i] * F.col("lower")[i])
+            for i in each
+        ]
+        total = F.aggregate("n", F.lit(0).cast("long"), lambda x, y: x + y)
+        grams = stored(rows.select("key", total.alias("total"), F.array(*value).alias("v")))
+        below = rest.grams[order] = grams.select("key", "v")
+    return grams, rest
+
+
+def resolved(keys: DataFrame, rest: Rest, width: int, order: int = ORDER) -> DataFrame:
+    """(key, v): log-probabilities of distinct n-grams, with back-off for those that no language has."""
+    if order == 0:
+        return keys.select("key", F.array_repeat(F.lit(-16 * float(np.log(2))), width).alias("v"))
+    rows = stored(keys.join(rest.grams[order], "key", "left"))
+    new = rows.where("v is null").select(
+        "key", F.shiftrightunsigned("key", 16).alias("head"), F.col("key").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1).cast("long")).alias("tail")
+    )
+    lower = resolved(new.select(F.col("tail").alias("key")).distinct(), rest, width, order - 1)
+    new = new.join(rest.contexts[order].select(F.col("key").alias("head"), F.col("v").alias("back")), "head", "left")
+    new = new.join(lower.select(F.col("key").alias("tail"), "v"), "tail")
+    back = F.coalesce("back", F.array_repeat(F.lit(0.0), width))
+    return rows.where("v is not null").union(new.select("key", F.zip_with(back, "v", lambda x, y: x + y).alias("v")))
+
+
+def looked_up(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with __entropy, __size and __letters of a model with ``rest``.
+
+    Texts are known by a 128-bit digest, so copies are looked up once.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(replace(model, rest=None))
+    width = len(model.languages)
+    digest = lambda t: None if t is None else xxhash.xxh128_digest(t.encode("utf-8", "surrogatepass"))
+
+    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch["text"]:
+                keys, times = shared.value.missing(text.as_py())
+                if len(keys):
+                    yield pa.RecordBatch.from_pydict({"digest": [digest(text.as_py())] * len(keys), "key": keys.view(np.int64), "times": times})
+
+    @F.pandas_udf("digest binary, entropy array<double>, size long, letters long")
+    def held(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            entropy, size, letters = shared.value.cross_entropies(texts.tolist(), held_only=True)
+            yield pd.DataFrame({"digest": [digest(t) for t in texts], "entropy": list(entropy), "size": size, "letters": letters})
+
+    lacked = docs.select("text").mapInArrow(missing, "digest binary, key long, times long")
+    lacked = stored(lacked.groupBy("digest", "key").agg(F.max("times").alias("times")))
+    values = resolved(lacked.select("key").distinct(), model.rest, width)
+    sums = [F.sum(F.col("times") * F.col("v")[i]) for i in range(width)]
+    more = stored(lacked.join(values, "key").groupBy("digest").agg(F.array(*sums).alias("__more")))
+    rows = docs.withColumn("__h", held.asNondeterministic()("text")).withColumn("__digest", F.col("__h.digest"))
+    rows = rows.join(more.withColumnRenamed("digest", "__digest"), "__digest", "left")
+    size = F.greatest(F.col("__h.size"), F.lit(1))
+    entropy = F.zip_with("__h.entropy", F.coalesce("__more", F.array_repeat(F.lit(0.0), width)), lambda x, y: x - y / size)
+    rows = rows.withColumn("__entropy", entropy).withColumn("__size", F.col("__h.size")).withColumn("__letters", F.col("__h.letters"))
+    return rows.select(*columns(rows, "__h", "__digest", "__more"))
+
+
 def fit(labelled: DataFrame, max_cells: int = 1 << 24, sample_rows: int = 5000, seed: int = 17) -> Model:
     """Models of all languages of ``labelled`` (lang, text); null languages and texts are left out.
 
-    ``max_cells`` bounds the broadcast model: distinct 4-grams times languages.
-    ``sample_rows`` bounds the expected number of rows kept for the calibration.
+    ``max_cells`` bounds what is broadcast (4-grams times languages), not what
+    the models rest on. ``sample_rows`` bounds the expected number of rows kept
+    for the calibration.
     """
-    spark = labelled.sparkSession
     rows = labelled.where("lang is not null and text is not null").select("lang", "text")
     share = min(0.1, sample_rows / max(1, rows.count()))
     apart = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20))
@@ -265,30 +394,38 @@ def fit(labelled: DataFrame, max_cells: int = 1 << 24, sample_rows: int = 5000,
         counted.unpersist()
         return Model([])
     most = max_cells // len(languages)
-    sums = counted.groupBy("key").agg(F.sum("n").alias("total"))
-    least = 1
-    if sums.count() > most:
-        held = 0
-        for r in sums.groupBy("total").count().orderBy(F.desc("total")).toLocalIterator():
-            held += r["count"]
-            least = r["total"] + 1
-            if held > most:
-                break
-    kept = counted if least == 1 else counted.join(sums.where(F.col("total") >= least).select("key"), "key", "left_semi")
-    got = kept.toArrow()
+    if counted.select("key").distinct().count() <= most:
+        got = counted.toArrow()
+        keys, inverse = np.unique(got["key"].to_numpy().view(np.uint64), return_inverse=True)
+        counts = np.zeros((len(keys), len(languages)))
+        place = {x: i for i, x in enumerate(languages)}
+        counts[inverse, [place[x] for x in got["lang"].to_pylist()]] = got["n"].to_numpy()
+        model = kneser_ney(languages, keys, counts)
+    else:
+        grams, rest = spread(languages, counted)
+        model = Model(languages, rest=rest)
+        model.grams[ORDER] = frequent(grams, most, len(languages))
     counted.unpersist()
-    keys, inverse = np.unique(got["key"].to_numpy().view(np.uint64), return_inverse=True)
-    counts = np.zeros((len(keys), len(languages)))
-    place = {x: i for i, x in enumerate(languages)}
-    counts[inverse, [place[x] for x in got["lang"].to_pylist()]] = got["n"].to_numpy()
-    model = kneser_ney(languages, keys, counts)
     calibrate(model, rows.where(apart))
     return model
 
 
+def frequent(grams: DataFrame, most: int, width: int) -> tuple[HashTable, np.ndarray]:
+    """The 4-grams of the highest totals, at most ``most``; of a total all or none."""
+    held, least = 0, 1
+    for r in grams.groupBy("total").count().orderBy(F.desc("total")).toLocalIterator():
+        held += r["count"]
+        if held > most:
+            least = r["total"] + 1
+            break
+    got = grams.where(F.col("total") >= least).select("key", F.col("v").cast("array<float>")).toArrow().combine_chunks()
+    values = got["v"].combine_chunks().flatten().to_numpy().reshape(-1, width)
+    return HashTable(got["key"].to_numpy().view(np.uint64)), values
+
+
 def calibrate(model: Model, sample: DataFrame) -> None:
     """Temperature by likelihood; rejection beyond three times the spread of 99.9 % of each language's own rows."""
-    shared = sample.sparkSession.sparkContext.broadcast(model)
+    shared = sample.sparkSession.sparkContext.broadcast(replace(model, rest=None))
 
     def measured(batches):
         for batch in batches:
@@ -297,7 +434,11 @@ def calibrate(model: Model, sample: DataFrame) -> None:
                 {"lang": batch["lang"], "entropy": pa.array(entropy.tolist(), pa.list_(pa.float64())), "size": size, "letters": letters}
             )
 
-    got = sample.mapInArrow(measured, "lang string, entropy array<double>, size long, letters long").where("letters > 0").toPandas()
+    if model.rest is None:
+        rows = sample.mapInArrow(measured, "lang string, entropy array<double>, size long, letters long")
+    else:
+        rows = looked_up(sample, model).select("lang", *[F.col(f"__{x}").alias(x) for x in ("entropy", "size", "letters")])
+    got = rows.where("letters > 0").toPandas()
     model.typical, model.slack = np.zeros(len(model.languages)), np.full(len(model.languages), np.inf)
     got = got[got["lang"].isin(model.languages)]
     if got.empty:
@@ -331,6 +472,17 @@ def predictor(spark: SparkSession, model: Model):
     return predicted.asNondeterministic()  # evaluated once, also under a filter
 
 
+def judged(spark: SparkSession, model: Model):
+    """As :func:`predictor`, from cross-entropies, characters and letters."""
+    shared = spark.sparkContext.broadcast(replace(model, rest=None, grams={}, contexts={}))
+
+    @F.pandas_udf("lang_pred string, score double, cross_entropy double, rejected boolean")
+    def predicted(entropy: pd.Series, size: pd.Series, letters: pd.Series) -> pd.DataFrame:
+        return shared.value.judge(np.stack(entropy), size.to_numpy(), letters.to_numpy())
+
+    return predicted
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that training never sees: crc32 of the id as text, modulo 3, is 1. A null id is trained on."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -344,5 +496,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     first. Columns of the input with these names are replaced.
     """
     names = ("lang_pred", "score", "cross_entropy", "rejected")
-    rows = docs.drop(*names).withColumn("__p", predictor(docs.sparkSession, model)("text"))
+    rows = docs.drop(*names)
+    if model.rest is None:
+        rows = rows.withColumn("__p", predictor(docs.sparkSession, model)("text"))
+    else:
+        rows = looked_up(rows, model).withColumn("__p", judged(docs.sparkSession, model)("__entropy", "__size", "__letters"))
+        rows = rows.drop("__entropy", "__size", "__letters")
     return rows.select(*columns(rows, "__p"), "__p.*")

@@ -223,3 +223,20 @@ def test_the_bound_on_the_model_leaves_rare_grams_to_lower_orders(spark):
     whole = langid.fit(docs)
     assert len(small.grams[4][1]) <= 15 < len(whole.grams[4][1])
     assert math.isfinite(float(small.log_probabilities(langid.ngrams(["never seen"])[0]).sum()))
+
+
+def test_no_gram_is_lost_beyond_the_bound_on_the_broadcast(spark):
+    draw = random.Random(3)
+    word = lambda letters: "".join(draw.choice(letters) for _ in range(draw.randint(1, 6)))
+    rows = [(i, " ".join(word(x) for _ in range(30)), x) for i, x in enumerate(draw.choice(["abcdefg", "efghijk", "ijklmno"]) for _ in range(300))]
+    rows += [(900 + i, t, None) for i, t in enumerate([None, "", "123", "never seen \U0001d54f", rows[0][1], rows[0][1]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole, small = langid.fit(docs), langid.fit(docs, max_cells=600)
+    assert 0 < len(small.grams[4][1]) <= 200 < len(whole.grams[4][1])
+    want = {r["doc_id"]: r for r in langid.identify(docs, whole).collect()}
+    got = langid.identify(docs, small).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        w = want[r["doc_id"]]
+        assert (r["lang_pred"], r["rejected"]) == (w["lang_pred"], w["rejected"])
+        assert r["cross_entropy"] == pytest.approx(w["cross_entropy"], rel=1e-4) and r["score"] == pytest.approx(w["score"], rel=1e-3)
