@@ -15,8 +15,11 @@ n-gram seen in any language has its interpolated probability for all languages,
 so that a character costs one look-up unless the n-gram is new.
 
 The language with the lowest cross-entropy per character wins. Confidence and
-rejection are calibrated on labelled rows that the counts leave out: a tenth of
-the training rows, chosen by hash, at most about ``sample_rows``.
+rejection are calibrated on labelled rows that the counts leave out, chosen by
+hash within each language: a tenth of its rows, at most about ``sample_rows``
+divided by the number of languages, and about 60 (but no more than a quarter of
+its rows) if a tenth is less. A language with fewer than 30 such rows is judged
+by the widest limits that the rows of all languages give (:func:`calibrate`).
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ _START, _GAP = 0, 32
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = np.uint64(16)
 _SEGMENT = 1 << 20
+#: Calibration rows that each language should have, and those it needs for a threshold of its own.
+_WANTED, _ENOUGH = 60, 30
 
 
 def _folding() -> np.ndarray:
@@ -382,12 +387,13 @@ def fit(labelled: DataFrame, max_cells: int = 1 << 24, sample_rows: int = 5000,
     """Models of all languages of ``labelled`` (lang, text); null languages and texts are left out.
 
     ``max_cells`` bounds what is broadcast (4-grams times languages), not what
-    the models rest on. ``sample_rows`` bounds the expected number of rows kept
-    for the calibration.
+    the models rest on. ``sample_rows``, but at least 60 a language, bounds the
+    expected number of rows kept for the calibration.
     """
     rows = labelled.where("lang is not null and text is not null").select("lang", "text")
-    share = min(0.1, sample_rows / max(1, rows.count()))
-    apart = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20))
+    parts = {x: int(share * (1 << 20)) for x, share in shares(rows, sample_rows).items()}
+    least = F.create_map(*[F.lit(v) for part in parts.items() for v in part])[F.col("lang")] if parts else F.lit(0)
+    apart = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 20)) < least
     counted = count_ngrams(rows.where(~apart)).persist()
     languages = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
     if not languages:
@@ -410,6 +416,13 @@ def fit(labelled: DataFrame, max_cells: int = 1 << 24, sample_rows: int = 5000,
     return model
 
 
+def shares(rows: DataFrame, sample_rows: int) -> dict[str, float]:
+    """Share of the rows of each language that the calibration takes."""
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    most = max(_WANTED, sample_rows / max(1, len(sizes)))
+    return {x: min(max(0.1, min(0.25, _WANTED / n)), most / n) for x, n in sizes.items()}
+
+
 def frequent(grams: DataFrame, most: int, width: int) -> tuple[HashTable, np.ndarray]:
     """The 4-grams of the highest totals, at most ``most``; of a total all or none."""
     held, least = 0, 1
@@ -424,7 +437,13 @@ def frequent(grams: DataFrame, most: int, width: int) -> tuple[HashTable, np.nda
 
 
 def calibrate(model: Model, sample: DataFrame) -> None:
-    """Temperature by likelihood; rejection beyond three times the spread of 99.9 % of each language's own rows."""
+    """Temperature by likelihood; rejection beyond three times the spread of 99.9 % of each language's own rows.
+
+    A language with fewer than 30 rows takes the spread of the rows of all
+    languages, each from the median of its own, about the highest of these
+    medians. Without any row there is no evidence, and no text with a letter is
+    rejected.
+    """
     shared = sample.sparkSession.sparkContext.broadcast(replace(model, rest=None))
 
     def measured(batches):
@@ -452,12 +471,15 @@ def calibrate(model: Model, sample: DataFrame) -> None:
         logits -= logits.max(1, keepdims=True)
         losses.append((np.log(np.exp(logits).sum(1)) - logits[np.arange(len(truth)), truth]).mean())
     model.temperature = float(grid[int(np.argmin(losses))])
-    for i in range(len(model.languages)):
-        own = truth == i
-        if own.sum() >= 30:
-            model.typical[i] = np.median(entropy[own, i])
-            spread = (entropy[own, i] - model.typical[i]) * np.sqrt(np.minimum(size[own], 400))
-            model.slack[i] = 3 * max(np.quantile(spread, 0.999), 1.0)
+    own = [np.flatnonzero(truth == i) for i in range(len(model.languages))]
+    nats = entropy[np.arange(len(truth)), truth]
+    medians = np.array([np.median(nats[rows]) if len(rows) else -np.inf for rows in own])
+    spread = (nats - medians[truth]) * np.sqrt(np.minimum(size, 400))
+    limit = lambda values: 3 * max(np.quantile(values, 0.999), 1.0)
+    for i, rows in enumerate(own):
+        thin = len(rows) < _ENOUGH
+        model.typical[i] = medians.max() if thin else medians[i]
+        model.slack[i] = limit(spread if thin else spread[rows])
 
 
 def predictor(spark: SparkSession, model: Model):

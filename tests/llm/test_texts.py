@@ -240,3 +240,24 @@ def test_no_gram_is_lost_beyond_the_bound_on_the_broadcast(spark):
         w = want[r["doc_id"]]
         assert (r["lang_pred"], r["rejected"]) == (w["lang_pred"], w["rejected"])
         assert r["cross_entropy"] == pytest.approx(w["cross_entropy"], rel=1e-4) and r["score"] == pytest.approx(w["score"], rel=1e-3)
+
+
+@pytest.mark.parametrize("rows_of", [{"aa": 40, "bb": 40, "cc": 40}, {"aa": 900, "bb": 900, "cc": 9}])
+def test_gibberish_is_rejected_whatever_the_share_of_a_language(spark, rows_of):
+    draw = random.Random(11)
+    sounds = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["sch", "ein", "ung", "tz"], "cc": ["eau", "que", "oi", "le"]}
+    text = lambda x: " ".join("".join(draw.choice(sounds[x]) for _ in range(draw.randint(1, 4))) for _ in range(60))
+    rows = [(text(x), x, True) for x, n in rows_of.items() for _ in range(n)]
+    noise = [" ".join("".join(draw.choice(letters) for _ in range(6)) for _ in range(40)) for letters in ("vwxyzqjp", "eauoqil", "жщюяы")]
+    docs = spark.createDataFrame(rows + [(x, None, False) for x in noise], "text string, lang string, real boolean")
+    model = langid.fit(docs)
+    assert model.languages == ["aa", "bb", "cc"] and np.isfinite(model.slack).all()
+    got = langid.identify(docs, model).collect()
+    assert [r["rejected"] for r in got if not r["real"]] == [True] * 3
+    assert not any(r["rejected"] for r in got if r["real"])
+
+
+def test_rare_languages_are_in_the_calibration(spark):
+    rows = spark.range(80_000).selectExpr("if(id < 400, 'rare', 'hot') lang", "string(id) text")
+    shares = langid.shares(rows, 5000)
+    assert 400 * shares["rare"] >= 59 and 79_600 * shares["hot"] <= 2501
