@@ -10,7 +10,7 @@ them all. Steps:
    partner that shares the required overlap cannot avoid, so boilerplate lists
    stay empty. For whole sketches this filter is exact. For cut ones the
    required overlap is ``overlap`` of ``k``: a pair at the threshold shares less
-   with a probability below 4e-9 (Chernoff bound at 80 of 128 and 0.85).
+   with a probability below 4e-9 (Chernoff bound: 80 of 128 at 0.85, 71 at 0.8).
 3. In each list a leader (the node with the fewest values of its own) is paired
    with the members: linear in the list. Pairs are filtered by the estimate
    from the union sketch and confirmed on the full shingle sets.
@@ -27,6 +27,7 @@ above it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,7 +50,24 @@ class Links:
     percent: int = 85
     k: int = 128
     whole: int = 192
-    overlap: int = 80
+
+    @property
+    def overlap(self) -> int:
+        """Most common values of two cut sketches that a pair at the threshold misses with a probability below 4e-9.
+
+        Chernoff: fewer than o of k common with a probability of at most
+        exp(-k * KL(o / k, percent / 100)).
+        """
+        p = self.percent / 100
+        if p >= 1:
+            return self.k
+
+        def miss(o: int) -> float:
+            q = o / self.k
+            kl = (q * math.log(q / p) if q else 0.0) + (1 - q) * math.log((1 - q) / (1 - p))
+            return math.exp(-self.k * kl)
+
+        return max((o for o in range(self.k) if o < self.k * p and miss(o) < 4e-9), default=0)
 
     @property
     def exact(self) -> int:

@@ -11,7 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from evidentia.llm import mixing, queries
+from evidentia.llm import mixing, neardup, queries
 from evidentia.llm.common import stored
 from test_mixing_quality_secrets import plain_spans
 from test_pairs import plain_components
@@ -119,3 +119,22 @@ def test_every_query_returns_one_row_per_document(spark):
     total = spark.read.parquet(f"{FOLDER}/documents.parquet").count()
     for name in ("op1_near_duplicates", "op2_secret_scan", "op4_sentencepiece", "op5_token_files", "op6_quality_rules", "op7_repeated_passages", "op8_language_id", "op10_token_counts"):
         assert queries.catalog.queries[name](spark, FOLDER).count() == total, name
+
+
+def test_near_duplicates_at_four_fifths(spark):
+    def pair(i, size, places):
+        words = [f"w{i}x{k}" for k in range(size)]
+        return [(i, " ".join(words)), (i + 1, " ".join("other" if k in places else w for k, w in enumerate(words)))]
+
+    rows = pair(1, 50, {25})  # 41 of 51 shingles
+    rows += pair(11, 45, {22})  # 36 of 46: below the threshold
+    rows += pair(21, 1000, set(range(20, 1000, 49)))  # cut sketches, 896 of 1096
+    rows += pair(31, 1000, set(range(20, 1000, 38)))  # 866 of 1126: below
+    want = {i for i, (_, c) in plain_components(rows, percent=80).items() if i == c}
+    assert want == {1, 11, 12, 21, 31, 32}
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {i for i, _ in rows_of(neardup.one_of_each(docs, neardup.Links(percent=80)))} == want
+
+
+def test_required_overlap_follows_the_threshold():
+    assert [neardup.Links(percent=p).overlap for p in (80, 85)] == [71, 80]
