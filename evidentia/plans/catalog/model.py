@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from evidentia.functions import text as tx
 from evidentia.operators import learn, textmodel as tm
 from evidentia.plans import bindings as src, sqltext as q
 from evidentia.plans.catalog import Catalog
@@ -275,26 +276,46 @@ def complement_nb(spark, folder):
     return scored.select("doc_id", F.round("p", 4).alias("probability"))
 
 
+MARKERS = ("fee receipt", "registry extract", "work authorization intake", "biometric", "sponsor attestation", "manual note")
+
+
+def composition(texts):
+    """(doc_id, markers and length of the masked text), the router's features beside the scores."""
+    masked = F.coalesce(tx.mask_digits(F.col("text")), F.lit(""))
+    return texts.withColumn("masked", masked).select(
+        "doc_id",
+        *[F.contains("masked", F.lit(m)).cast("double").alias(f"marker_{i}") for i, m in enumerate(MARKERS)],
+        F.least(F.length("masked") / 20000.0, F.lit(1.0)).alias("length"),
+    )
+
+
 @catalog.add("meta_router")
 def meta_router(spark, folder):
-    scores = durable(_oof(spark, folder))
-    rows = VectorAssembler(inputCols=["good", "bad"], outputCol="features").transform(
-        scores.withColumn("label", F.col("quality").cast("double"))
-    )
-    model = learn.meta_router(rows, "label", minimum_leaf=10, trees=300)
-    return learn.probability(model, rows, "p").select("doc_id", F.round("p", 4).alias("probability"))
+    """Out-of-fold probabilities of the router, a column for each leaf size."""
+    scores = _oof(spark, folder).withColumn("label", F.col("quality").cast("double"))
+    scores = scores.join(composition(src.texts(spark, folder)), "doc_id")
+    names = ["good", "bad", *[f"marker_{i}" for i in range(len(MARKERS))], "length"]
+    rows = durable(VectorAssembler(inputCols=names, outputCol="features").transform(scores).select("doc_id", "fold", "label", "features"))
+    routed = learn.routed_out_of_fold(rows, "label", (5, 10, 20, 35), trees=300)
+    return routed.select("doc_id", *[F.round(f"leaf_{n}", 4).alias(f"leaf_{n}") for n in (5, 10, 20, 35)])
 
 
 @catalog.add("correctness_calibrator")
 def correctness_calibrator(spark, folder):
-    """Brier score of out-of-fold correctness probabilities, per penalty."""
+    """Brier score of out-of-fold correctness probabilities, per penalty.
+
+    A case's text is its metadata words and all its readings. n-grams stay inside
+    words, so their counts add up and no case is put together.
+    """
     from evidentia import policy as fixed
     from evidentia.plans.catalog.evaluate import pairs
 
     rows = pairs(spark, folder)
     metadata = learn.metadata_tokens({f: F.col(f) for f in (*fixed.FIELDS, "adjudication")})
-    texts = rows.select("case_id", metadata.alias("text"))
-    tf = durable(tm.term_counts(texts, ["case_id"]))
+    kept = F.translate(metadata, "0123456789", "".join(map(chr, range(0xE000, 0xE00A))))  # masked in readings only
+    texts = rows.select("case_id", kept.alias("text"))
+    visible = src.readings(spark, folder).select("case_id", "text").join(texts.select("case_id"), "case_id", "left_semi")
+    tf = durable(tm.term_counts(texts.unionByName(visible), ["case_id"]))
     labels = rows.select("case_id", F.col("same_adjudication").alias("right"))
     targets = {f"c_{n}": (F.col("right"), c) for n, c in (("low", 0.1), ("mid", 0.5), ("more", 2.0), ("high", 8.0))}
     scored = learn.out_of_fold(tf, labels, "case_id", targets, 3, 12000, "right", balance=False)
