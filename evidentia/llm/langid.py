@@ -16,7 +16,7 @@ so that a character costs one look-up unless the n-gram is new.
 
 The language with the lowest cross-entropy per character wins. Confidence and
 rejection are calibrated on labelled rows that the counts leave out, chosen by
-hash within each language: a tenth of its rows, at most about ``sample_rows``
+hash within each language and taken once if repeated: a tenth of its rows, at most about ``sample_rows``
 divided by the number of languages, and about 60 (but no more than a quarter of
 its rows) if a tenth is less. A language with fewer than 30 such rows is judged
 by the widest limits that the rows of all languages give (:func:`calibrate`).
@@ -412,10 +412,15 @@ def fit(labelled: DataFrame, max_cells: int = 1 << 24, sample_rows: int = 5000,
         model = Model(languages, rest=rest)
         model.grams[ORDER] = frequent(grams, most, len(languages))
     counted.unpersist()
-    calibrate(model, rows.where(apart))
+    calibrate(model, distinct_texts(rows.where(apart)))
     return model
 
 
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """One row of each (lang, text), so that many copies count once; texts are told apart by a digest."""
+    return rows.groupBy("lang", F.sha2("text", 256).alias("digest")).agg(F.first("text").alias("text")).drop("digest")
+
+
 def shares(rows: DataFrame, sample_rows: int) -> dict[str, float]:
     """Share of the rows of each language that the calibration takes."""
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}

@@ -261,3 +261,11 @@ def test_rare_languages_are_in_the_calibration(spark):
     rows = spark.range(80_000).selectExpr("if(id < 400, 'rare', 'hot') lang", "string(id) text")
     shares = langid.shares(rows, 5000)
     assert 400 * shares["rare"] >= 59 and 79_600 * shares["hot"] <= 2501
+
+
+def test_copies_are_calibrated_on_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "calibrate", lambda model, sample: seen.extend(sample.collect()))
+    rows = [(f"text number {i % 40} of many", "aa") for i in range(4000)] + [("text number 1 of many", "bb")] * 50 + [("more", "bb")]
+    langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert 0 < len(seen) == len({(r["lang"], r["text"]) for r in seen})
