@@ -391,9 +391,9 @@ def fit(labelled: DataFrame, max_cells: int = 1 << 24, sample_rows: int = 5000,
     expected number of rows kept for the calibration.
     """
     rows = labelled.where("lang is not null and text is not null").select("lang", "text")
-    parts = {x: int(share * (1 << 20)) for x, share in shares(rows, sample_rows).items()}
+    parts = {x: int(share * (1 << 20)) for x, share in shares(rows, sample_rows, seed).items()}
     least = F.create_map(*[F.lit(v) for part in parts.items() for v in part])[F.col("lang")] if parts else F.lit(0)
-    apart = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 20)) < least
+    apart = bucket(seed) < least
     counted = count_ngrams(rows.where(~apart)).persist()
     languages = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
     if not languages:
@@ -421,11 +421,16 @@ def distinct_texts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("lang", F.sha2("text", 256).alias("digest")).agg(F.first("text").alias("text")).drop("digest")
 
 
-def shares(rows: DataFrame, sample_rows: int) -> dict[str, float]:
-    """Share of the rows of each language that the calibration takes."""
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+def bucket(seed: int) -> Column:
+    return F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 20))
+
+
+def shares(rows: DataFrame, sample_rows: int, seed: int = 17) -> dict[str, float]:
+    """Share of the rows of each language that the calibration takes; none if no row were left to count."""
+    sizes = {r["lang"]: (r["n"], r["last"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.max(bucket(seed)).alias("last")).collect()}
     most = max(_WANTED, sample_rows / max(1, len(sizes)))
-    return {x: min(max(0.1, min(0.25, _WANTED / n)), most / n) for x, n in sizes.items()}
+    wanted = {x: min(max(0.1, min(0.25, _WANTED / n)), most / n) for x, (n, _) in sizes.items()}
+    return {x: share if sizes[x][1] >= int(share * (1 << 20)) else 0.0 for x, share in wanted.items()}
 
 
 def frequent(grams: DataFrame, most: int, width: int) -> tuple[HashTable, np.ndarray]:

@@ -269,3 +269,8 @@ def test_copies_are_calibrated_on_once(spark, monkeypatch):
     rows = [(f"text number {i % 40} of many", "aa") for i in range(4000)] + [("text number 1 of many", "bb")] * 50 + [("more", "bb")]
     langid.fit(spark.createDataFrame(rows, "text string, lang string"))
     assert 0 < len(seen) == len({(r["lang"], r["text"]) for r in seen})
+
+
+def test_no_language_loses_all_its_rows_to_the_calibration(spark):
+    rows = [(f"the only text of {i}", f"l{i:02}") for i in range(24)]
+    assert langid.fit(spark.createDataFrame(rows, "text string, lang string")).languages == [x for _, x in rows]
