@@ -1,10 +1,10 @@
-"""Queries of the ten operators with their checking SQL."""
+"""Queries of the operators with their checking SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from evidentia.llm import ann, langid, mixing, neardup, pieces, quality, repeats, secrets, token_counts, token_files
+from evidentia.llm import alignment, ann, conversations, langid, merge_automaton, mixing, neardup, pieces, quality, repeats, secrets, token_counts, token_files
 from evidentia.plans.catalog import Catalog
 
 catalog = Catalog()
@@ -84,3 +84,20 @@ def op9_nearest_neighbours(spark, folder):
 def op10_token_counts(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, vocabulary("piece_bpe_32k.model")).drop("text")
+
+
+@catalog.add("op11_byte_bpe")
+def op11_byte_bpe(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return merge_automaton.digest(merge_automaton.tokenise(docs, vocabulary("byte_bpe_50k.json")))
+
+
+@catalog.add("op12_conversation_repair")
+def op12_conversation_repair(spark, folder):
+    return conversations.repair(conversations.damage(table(spark, folder, "conversations")))
+
+
+@catalog.add("op13_token_alignment")
+def op13_token_alignment(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return alignment.link_documents(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
