@@ -213,6 +213,20 @@ def _arrow_schema() -> pa.Schema:
     )
 
 
+def _tied(world, vectors, ids, members, vector, k: int, width: int) -> list[tuple[float, int]]:
+    """(score, node) of the nodes found, nearest first; a wider search if the last one ties with the k-th id."""
+    while True:
+        nodes = np.array(world.nearest(vector, width), np.int64)
+        scores = np.sqrt(((vectors[nodes] - vector) ** 2).sum(axis=1))
+        order = np.argsort(scores, kind="stable")
+        nodes, scores = nodes[order], scores[order]
+        held = np.cumsum(members[nodes + 1] - members[nodes])
+        at = int(np.searchsorted(held, k))
+        if len(nodes) < width or at >= len(nodes) or scores[-1] > scores[at]:
+            return list(zip(scores.tolist(), nodes.tolist()))
+        width *= 2
+
+
 def search(graphs: DataFrame, queries: DataFrame, k: int = 10, how: Graph = Graph()) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each usable query (query_id, embedding).
 
@@ -238,9 +252,11 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = 10, how: Graph = Grap
                 world = SmallWorld.load(vectors, row, how)
                 found: tuple[list, list, list] = ([], [], [])
                 for query in row["queries"]:
-                    vector, got = np.array(query["v"]), 0
-                    for node in world.nearest(vector, max(how.search_width, k + 1)):
-                        score = float(np.sqrt(((vectors[node] - vector) ** 2).sum()))
+                    vector, got, last = np.array(query["v"]), 0, 0.0
+                    for score, node in _tied(world, vectors, ids, members, vector, k + 1, max(how.search_width, k + 1)):
+                        if got > k and score > last:
+                            break  # different vectors at one distance are all taken: the smaller id wins
+                        last = score
                         # equal vectors: the k + 1 smallest ids, as larger ones rank behind them
                         for vec_id in ids[members[node] : members[node + 1]][: k + 1].tolist():
                             if vec_id != query["query_id"]:
@@ -248,8 +264,6 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = 10, how: Graph = Grap
                                 found[1].append(vec_id)
                                 found[2].append(score)
                                 got += 1
-                        if got >= k + 1:
-                            break
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64())],
                     ["query_id", "vec_id", "score"],

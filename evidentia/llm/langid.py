@@ -82,9 +82,19 @@ def segments(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
         yield rows, pieces
 
 
+def _coded(piece: str) -> bytes:
+    """UTF-16 units of a lower-case piece with three starts before it; signs beyond U+FFFF that are no letters are gaps."""
+    low = piece.lower().replace("\0", " ")
+    coded = ("\0\0\0" + low).encode("utf-16-le", "surrogatepass")
+    if len(coded) == 2 * len(low) + 6:
+        return coded
+    low = "".join(c if c < "\U00010000" or c.isalpha() else " " for c in low)
+    return ("\0\0\0" + low).encode("utf-16-le", "surrogatepass")
+
+
 def ngrams(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(4-gram keys, piece of each, is a letter) over folded, lower-case pieces with starts padded."""
-    coded = [("\0\0\0" + p.lower().replace("\0", " ")).encode("utf-16-le", "surrogatepass") for p in pieces]
+    coded = [_coded(p) for p in pieces]
     units = fold()[np.frombuffer(b"".join(coded), "<u2")]
     owner = np.repeat(np.arange(len(coded), dtype=np.int32), [len(c) // 2 for c in coded])
     keep = np.ones(len(units), bool)

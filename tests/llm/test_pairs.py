@@ -207,3 +207,14 @@ def test_recall_ties_and_left_out_vectors(spark):
 def test_fewer_candidates_than_asked(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [4.0])], "vec_id long, embedding array<float>")
     assert [(r["vec_id"], r["score"]) for r in ann.nearest_neighbours(df).orderBy("rank").collect()] == [(1, 1.0), (2, 3.0)]
+
+
+def test_different_vectors_at_one_distance_go_by_id(spark):
+    """Far more tied vectors than the search is wide: signs of one pattern around a query at the origin of their differences."""
+    import itertools
+
+    signs = [list(s) for s in itertools.product((-1.0, 1.0), repeat=9)]
+    rows = [(101 + i, [*s, 0.0]) for i, s in enumerate(signs)] + [(100, [0.0] * 9 + [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [r["vec_id"] for r in ann.nearest_neighbours(df).where("query_id = 100").orderBy("rank").collect()]
+    assert got == list(range(101, 111))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from evidentia.llm import mixing, neardup, queries
-from evidentia.llm.common import stored
+from evidentia.llm.common import columns, stored
 from test_mixing_quality_secrets import plain_spans
 from test_pairs import plain_components
 
@@ -98,11 +98,17 @@ def test_ids_are_the_library_s(stages):
 
 def test_stages_take_odd_and_no_documents(spark, odd_documents, no_documents):
     for frame in (odd_documents, no_documents):
-        docs = stored(frame.select("doc_id", "text", "lang", "source", "n_chars"))
+        docs = stored(frame.withColumns({"rejected": F.lit("r"), "lang_pred": F.lit(3), "mix_key": F.lit("m"), "Cross_entropy": F.lit(1)}))
+        own = docs.columns
+        extra = [c for c in own if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+        values = [str(r) for r in docs.select(*columns(docs, "doc_id", "text", "lang", "source", "n_chars")).distinct().collect()]
+        assert len(extra) in (4, 12)
         for name, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, FOLDER))
             if name != "sentencepiece":
-                assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+                assert docs.columns == own
+                kept = docs.select(*columns(docs, "doc_id", "text", "lang", "source", "n_chars")).distinct().collect()
+                assert all(str(r) in values for r in kept)
 
 
 @pytest.mark.parametrize("name", ["op1_near_duplicates", "op2_secret_scan", "op3_mix_sources", "op6_quality_rules"])

@@ -274,3 +274,12 @@ def test_copies_are_calibrated_on_once(spark, monkeypatch):
 def test_no_language_loses_all_its_rows_to_the_calibration(spark):
     rows = [(f"the only text of {i}", f"l{i:02}") for i in range(24)]
     assert langid.fit(spark.createDataFrame(rows, "text string, lang string")).languages == [x for _, x in rows]
+
+
+def test_signs_beyond_the_first_plane_are_no_letters(spark):
+    rows = [(i, t, l) for i, (t, l) in enumerate([("the cat of the house", "en"), ("le chat de la maison", "fr")] * 40)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    odd = spark.createDataFrame([(1, "\U0001f600\U0001f600 !!"), (2, "\U0001f600 the house of the cat \U0001f600"), (3, "\U0001d4b3\U00020000")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in langid.identify(odd, model).collect()}
+    assert (got[1]["lang_pred"], got[1]["score"], got[1]["rejected"]) == ("und", 0.0, True)
+    assert got[2]["lang_pred"] == "en" and got[3]["lang_pred"] != "und"
