@@ -9,6 +9,8 @@ behind the mixing stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from evidentia.llm import langid, mixing, neardup, pieces, secrets
@@ -16,10 +18,18 @@ from evidentia.llm.common import columns, stored
 from evidentia.llm.queries import vocabulary
 
 
+def _own_columns(docs: DataFrame, results: tuple[str, ...], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The columns of ``docs`` behind a stage that adds ``results``, also where ``docs`` has columns of these names."""
+    private = [f"__own_{i}" if c.lower() in results else c for i, c in enumerate(docs.columns)]
+    staged = stage(docs.toDF(*private))
+    return staged.select(*columns(docs.toDF(*private))).toDF(*docs.columns)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; models of all labelled documents of this stage's input."""
     model = langid.fit(docs)
-    return langid.identify(docs, model).where("not rejected").select(*columns(docs))
+    names = ("lang_pred", "score", "cross_entropy", "rejected")
+    return _own_columns(docs, names, lambda rows: langid.identify(rows, model).where("not rejected"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +45,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of documents at the rates that give each source its tempered share, globally shuffled."""
-    return mixing.mix(docs, mixing.tempered_weights(docs)).select(*columns(docs))
+    weights = mixing.tempered_weights(docs)
+    return _own_columns(docs, ("copy", "mix_key"), lambda rows: mixing.mix(rows, weights))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
