@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from evidentia.functions import text as tx
+from evidentia.session import durable
 
 GRAM_SIZES = (3, 4, 5)
+#: A weight table or vocabulary is broadcast up to this many counted rows.
+BROADCAST_ROWS = 250_000
 LOGIT_CLAMP = 40.0
 
 WEIGHTS = T.StructType(
@@ -117,9 +120,38 @@ def document_frequencies(counts: DataFrame) -> DataFrame:
 
 def vocabulary(counts: DataFrame, documents: int, min_df: int, max_features: int) -> DataFrame:
     """Tokens in at least ``min_df`` texts, the ``max_features`` most frequent, with idf."""
-    frequent = document_frequencies(counts).filter(F.col("df") >= min_df)
-    kept = frequent.orderBy(F.col("cf").desc(), F.col("token")).limit(max_features)
-    return kept.withColumn("idf", F.log(F.lit(1.0 + documents) / (1.0 + F.col("df"))) + 1.0)
+    frequent = durable(document_frequencies(counts).filter(F.col("df") >= min_df))
+    return most_frequent(frequent, max_features).withColumn("idf", F.log(F.lit(1.0 + documents) / (1.0 + F.col("df"))) + 1.0)
+
+
+def step_of(n: Column) -> Column:
+    """Counts in steps of a 32nd of a power of two: two thousand steps hold every long."""
+    return F.floor(F.log2(n.cast("double")) * 32).cast("int")
+
+
+def cut_off(steps: list[tuple[int, int]], wanted: int) -> int:
+    """The step from which on the highest counts number ``wanted`` or more; (step, rows) in any order."""
+    for step, rows in sorted(steps, reverse=True):
+        wanted -= rows
+        if wanted <= 0:
+            return step
+    return min((s for s, _ in steps), default=0)
+
+
+def most_frequent(rows: DataFrame, wanted: int, count: str = "cf", tie: str = "token") -> DataFrame:
+    """The ``wanted`` rows of highest count, ties to the smaller ``tie``.
+
+    A histogram of the counts gives a cut-off first, so that one task sorts
+    little more than ``wanted`` rows. Read twice: ``rows`` should be stored.
+    """
+    step = step_of(F.col(count))
+    steps = [(r["s"], r["n"]) for r in rows.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    return rows.filter(step >= cut_off(steps, wanted)).orderBy(F.col(count).desc(), F.col(tie)).limit(wanted)
+
+
+def beside(table: DataFrame, rows: int) -> DataFrame:
+    """A table of ``rows`` counted rows as the small side of a join: broadcast, or hashed partition by partition."""
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table.hint("shuffle_hash")
 
 
 def sublinear(tf: Column) -> Column:
@@ -128,11 +160,10 @@ def sublinear(tf: Column) -> Column:
 
 def tfidf(counts: DataFrame, vocab: DataFrame, keys: list[str]) -> DataFrame:
     """L2-normalised sublinear TF-IDF weights over vocabulary tokens only."""
-    raw = counts.join(vocab.select("token", "idf"), "token").withColumn(
-        "raw", sublinear(F.col("tf")) * F.col("idf")
-    )
-    norms = raw.groupBy(*keys).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norms, keys).select(*keys, "token", (F.col("raw") / F.col("norm")).alias("weight"))
+    vocab = durable(vocab.select("token", "idf"))
+    raw = counts.join(beside(vocab, vocab.count()), "token").withColumn("raw", sublinear(F.col("tf")) * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*keys)))
+    return raw.select(*keys, "token", (F.col("raw") / norm).alias("weight"))
 
 
 # -- scoring ---------------------------------------------------------------
@@ -144,38 +175,38 @@ def sigmoid(score: Column) -> Column:
 
 
 def raw_scores(texts: DataFrame, keys: list[str], models: dict[str, Model], text: str = "text") -> DataFrame:
-    """One row per text: a struct ``<model>`` with the linear scores of a model.
+    """One row per text: an array ``<model>`` with the linear scores of a model.
 
-    All models share one expansion. Texts without a known token score the
-    intercepts alone, so they are kept by an outer join on the keys.
+    All models share one expansion and one table of their tokens. n-grams that
+    no model knows go before the shuffle if that table is small enough to be
+    broadcast (its rows are counted); otherwise they are counted first and meet
+    it by key. Texts without a known token score the intercepts alone, so they
+    are kept by an outer join on the keys.
     """
-    width = max(len(m.intercepts) for m in models.values())
     tables = [
-        m.weights.select(F.lit(name).alias("model"), "token", "idf", "coefs") for name, m in models.items()
+        m.weights.select("token", F.struct(F.lit(i).alias("model"), "idf", F.col("coefs").cast("array<double>").alias("coefs")).alias("w"))
+        for i, m in enumerate(models.values())
     ]
     weights = tables[0]
     for table in tables[1:]:
         weights = weights.unionAll(table)
-    known = char_ngrams(texts, keys, text).join(weights, "token")
-    counted = known.groupBy(*keys, "model", "token").agg(
-        F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"), F.first("coefs").alias("coefs")
-    )
-    value = F.col("value")
-    folded = (
-        counted.withColumn("value", sublinear(F.col("tf")) * F.col("idf"))
-        .groupBy(*keys, "model")
-        .agg(
-            F.sqrt(F.sum(value * value)).alias("norm"),
-            *[F.sum(value * F.get("coefs", F.lit(i))).alias(f"dot_{i}") for i in range(width)],
-        )
-    )
-    per_model = folded.groupBy(*keys).agg(
-        *[
-            F.max(F.when(F.col("model") == name, F.col(f"dot_{i}") / F.col("norm"))).alias(f"{name}:{i}")
-            for name, m in models.items()
-            for i in range(len(m.intercepts))
-        ]
-    )
+    weights = weights.groupBy("token").agg(F.collect_list("w").alias("w")).withColumn("number", F.monotonically_increasing_id())
+    weights = durable(weights)
+    rows = weights.count()
+    tokens, values = (beside(weights.select(c, "number"), rows) for c in ("token", "w"))
+    if rows <= BROADCAST_ROWS:
+        known = char_ngrams(texts, keys, text).join(tokens, "token").groupBy(*keys, "number").agg(F.count(F.lit(1)).alias("tf"))
+    else:
+        known = term_counts(texts, keys, text).join(tokens, "token").drop("token")
+    known = known.join(values, "number").select(*keys, "tf", F.explode("w").alias("w"))
+    value = sublinear(F.col("tf")) * F.col("w.idf")
+    mine = lambda i, x: F.sum(F.when(F.col("w.model") == i, x))
+    sums = [
+        (mine(i, value * F.get("w.coefs", F.lit(j))) / F.sqrt(mine(i, value * value))).alias(f"{name}:{j}")
+        for i, (name, m) in enumerate(models.items())
+        for j in range(len(m.intercepts))
+    ]
+    per_model = known.groupBy(*keys).agg(*sums)
     every = texts.select(*keys).distinct().join(per_model, keys, "left")
     return every.select(
         *keys,

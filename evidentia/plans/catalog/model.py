@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from evidentia import policy as fixed
 from evidentia.functions import text as tx
-from evidentia.operators import learn, textmodel as tm
+from evidentia.operators import jointfit, learn, textmodel as tm
 from evidentia.plans import bindings as src, sqltext as q
 from evidentia.plans.catalog import Catalog
 from evidentia.session import durable
@@ -198,40 +199,55 @@ def labelled(spark, folder):
     return labels.join(src.table(spark, folder, "documents").select("doc_id", "lang"), "doc_id")
 
 
-def training(spark, folder, max_features=4000):
-    """(counts, vocabulary with positions, vectors) of the labelled documents."""
-    rows = labelled(spark, folder)
-    texts = src.texts(spark, folder).join(rows.select("doc_id"), "doc_id", "left_semi")
-    tf = durable(tm.term_counts(texts, ["doc_id"]))
-    vocab = durable(learn.indexed(tm.vocabulary(tf, rows.count(), MIN_DF, max_features)))
-    return tf, vocab, learn.vectors(tf, vocab, "doc_id", vocab.count()).persist()
+def _texts(spark, folder, rows):
+    return durable(src.texts(spark, folder).join(rows.select("doc_id"), "doc_id", "left_semi"))
 
 
-def _fitted(spark, folder):
-    tf, vocab, features = training(spark, folder)
-    rows = labelled(spark, folder).withColumn("label", F.col("quality").cast("double")).join(features, "doc_id")
-    return vocab, rows, learn.fit_binary(rows, "label", 2.0)
+def _fitted(spark, folder, targets, max_features=4000):
+    """Term counts and a joint fit of ``targets``, name -> (label, c), on the labelled documents."""
+    rows = labelled(spark, folder)
+    tf = durable(tm.term_counts(_texts(spark, folder, rows), ["doc_id"]))
+    packed = jointfit.pack(tf, rows, "doc_id", {n: label for n, (label, _) in targets.items()}, MIN_DF, max_features)
+    return tf, rows, jointfit.fit(packed, {n: (n, c, True) for n, (_, c) in targets.items()})
 
 
 @catalog.add("fit_binary")
 def fit_binary(spark, folder):
-    vocab, _, model = _fitted(spark, folder)
-    weights = learn.export([model], vocab, (), 4000).weights
+    _, _, fitted = _fitted(spark, folder, {"quality": (F.col("quality"), 2.0)})
+    weights = fitted.model(("quality",), 4000).weights
     return weights.select("token", F.round("idf", 6).alias("idf"), F.round(F.col("coefs")[0], 4).alias("coef"))
 
 
+_LABELLED_VOCAB = VOCAB.replace("from documents)", "from labels join documents using (doc_id))").replace(f"limit {MAX_FEATURES}", "limit 4000").replace(
+    "count(*) from documents", "count(*) from labels join documents using (doc_id)"
+)
+
+
+@catalog.add(
+    "fit_certificate",
+    _LABELLED_VOCAB + " select t.target, count(*) as rows, (count(*) filter (where case t.target when 'quality' then quality else toxic end = 1))::bigint as positives, "
+    "(select count(*) from v) as tokens, true as optimal from labels join documents using (doc_id) cross join (values ('quality'), ('toxic')) t(target) group by t.target",
+)
+def fit_certificate(spark, folder):
+    """Exported weights are optimal: their gradient, from counts and labels in SQL, is nothing beside that of zero weights."""
+    tf, rows, fitted = _fitted(spark, folder, {"quality": (F.col("quality"), 2.0), "toxic": (F.col("toxic"), 8.0)})
+    out = None
+    for target, c in (("quality", 2.0), ("toxic", 8.0)):
+        proof = jointfit.stationarity(tf, rows, "doc_id", target, fitted.model((target,), 4000), c)
+        proof = proof.select(F.lit(target).alias("target"), "rows", "positives", "tokens", (F.col("largest") < 1e-5).alias("optimal"))
+        out = proof if out is None else out.unionByName(proof)
+    return out
+
+
 @catalog.add(
     "export_equivalence",
     "select true as equivalent, count(*) as compared from labels join documents using (doc_id)",
 )
 def export_equivalence(spark, folder):
-    vocab, rows, model = _fitted(spark, folder)
-    exported = learn.export([model], vocab, (), 4000)
-    expected = learn.probability(model, rows, "p").select("doc_id", "p")
-    texts = src.texts(spark, folder).join(rows.select("doc_id"), "doc_id", "left_semi")
-    observed = tm.raw_scores(texts, ["doc_id"], {"m": exported}).select(
-        "doc_id", tm.binary_probability(F.col("m")).alias("p")
-    )
+    _, rows, fitted = _fitted(spark, folder, {"quality": (F.col("quality"), 2.0)})
+    expected = fitted.probabilities().select("doc_id", F.col("quality").alias("p"))
+    scores = tm.raw_scores(_texts(spark, folder, rows), ["doc_id"], {"m": fitted.model(("quality",), 4000)})
+    observed = scores.select("doc_id", tm.binary_probability(F.col("m")).alias("p"))
     return tm.export_error(expected, observed, ["doc_id"], "p").select(
         (F.col("maximum_error") <= 1e-10).alias("equivalent"), "compared"
     )
@@ -239,41 +255,90 @@ def export_equivalence(spark, folder):
 
 @catalog.add("fit_multiclass_ovr")
 def fit_multiclass_ovr(spark, folder):
-    _, vocab, features = training(spark, folder)
-    rows = labelled(spark, folder).join(features, "doc_id")
-    classes = tuple(sorted(r["lang"] for r in rows.select("lang").distinct().collect()))
-    models = [
-        learn.fit_binary(rows.withColumn("label", (F.col("lang") == c).cast("double")), "label", 0.5)
-        for c in classes
-    ]
-    exported = learn.export(models, vocab, classes, 4000, minimum_probability=0.08, minimum_margin=0.0)
+    classes = tuple(sorted(r["lang"] for r in labelled(spark, folder).select("lang").distinct().collect()))  # a model each
+    _, _, fitted = _fitted(spark, folder, {c: (F.col("lang") == c, 0.5) for c in classes})
+    exported = fitted.model(classes, 4000, classes=classes, minimum_probability=0.08, minimum_margin=0.0)
     scores = tm.raw_scores(src.texts(spark, folder), ["doc_id"], {"m": exported})
     best = scores.select("doc_id", tm.multiclass(F.col("m"), exported).alias("b"))
     return best.select("doc_id", "b.value", F.round("b.probability", 4).alias("probability"), "b.accepted")
 
 
-def _oof(spark, folder):
+FLAG_THRESHOLD = 0.65
+
+
+def flag_model(spark, folder):
+    """(texts by case, true flags by case, model of all flags that occur) over all readings of each case."""
+    truth = durable(src.bind(spark, folder, src.TRUTH).select("case_id", "risk_flags"))
+    texts = src.readings(spark, folder).select("case_id", "text").join(truth.select("case_id"), "case_id", "left_semi")
+    held = F.explode(F.split("risk_flags", r"\|")).alias("flag")
+    flags = tuple(sorted(r["flag"] for r in truth.select(held).distinct().collect() if r["flag"] in (*fixed.DISQUALIFYING_FLAGS, *fixed.REVIEW_FLAGS)))
+    tf = durable(tm.term_counts(texts, ["case_id"]))
+    labels = {f: F.array_contains(F.split("risk_flags", r"\|"), f) for f in flags}
+    packed = jointfit.pack(tf, truth, "case_id", labels, 3, 16_000)
+    fitted = jointfit.fit(packed, {f: (f, 2.0, True) for f in flags})
+    return texts, truth, fitted.model(flags, 16_000, classes=flags, thresholds=dict.fromkeys(flags, FLAG_THRESHOLD))
+
+
+@catalog.add("fit_flags")
+def fit_flags(spark, folder):
+    """Precision counts of the flag models: for each flag, cases that hold it, get it, and both."""
+    texts, truth, model = flag_model(spark, folder)
+    scores = tm.raw_scores(texts, ["case_id"], {"m": model})
+    got = truth.join(scores.select("case_id", F.split(tm.multilabel(F.col("m"), model), r"\|").alias("given")), "case_id")
+    held = F.split("risk_flags", r"\|")
+    rows = got.select(F.explode(F.array(*[F.struct(F.lit(f).alias("flag"), F.array_contains(held, f).alias("holds"), F.array_contains("given", f).alias("gets")) for f in model.classes])).alias("r"))
+    return rows.groupBy("r.flag").agg(F.count_if("r.holds").alias("held"), F.count_if("r.gets").alias("given"), F.count_if(F.col("r.holds") & F.col("r.gets")).alias("both"))
+
+
+def _families(spark, folder):
+    """Rows and their term counts by family: n-grams of characters inside words, runs of words."""
     rows = labelled(spark, folder).select("doc_id", "quality", "toxic")
-    texts = src.texts(spark, folder).join(rows.select("doc_id"), "doc_id", "left_semi")
-    tf = durable(tm.term_counts(texts, ["doc_id"]))
-    targets = {"good": (F.col("quality") == 1, 8.0), "bad": (F.col("toxic") == 1, 2.0)}
-    return learn.out_of_fold(tf, rows, "doc_id", targets, 3, 4000, "quality")
+    texts = _texts(spark, folder, rows)
+    words = tm.word_ngrams(texts, ["doc_id"]).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))
+    return rows, {"char": durable(tm.term_counts(texts, ["doc_id"])), "word": durable(words)}
+
+
+def _packed_folds(rows, tf):
+    labels = {"good": F.col("quality") == 1, "bad": F.col("toxic") == 1}
+    return jointfit.pack(tf, rows, "doc_id", labels, 3, 4000, "quality", 5)
+
+
+def _logistic(packed):
+    return jointfit.fit(packed, {"good": ("good", 8.0, True), "bad": ("bad", 2.0, True)}).probabilities()
 
 
 @catalog.add("oof_probabilities")
 def oof_probabilities(spark, folder):
-    return _oof(spark, folder).select(
+    rows, families = _families(spark, folder)
+    return _logistic(_packed_folds(rows, families["char"])).select(
         "doc_id", "fold", F.round("good", 4).alias("good"), F.round("bad", 4).alias("bad")
     )
 
 
-@catalog.add("complement_nb")
+_FOLD_BAYES = (
+    GRAMS.replace("from documents)", "from labels join documents using (doc_id))")
+    + ", f as materialized (select doc_id, quality = 1 as y, cast((row_number() over (partition by quality order by sha256(cast(doc_id as varchar))) - 1) % 5 as int) as fold from labels join documents using (doc_id)), "
+    "st as materialized (select token, fold, count(*) as df, sum(tf) as cf from tf join f using (doc_id) group by all), "
+    "tot as (select token, sum(df) as df, sum(cf) as cf from st group by token), k as (select fold, count(*) as n from f group by fold), "
+    "nv as materialized (select k.fold, tot.token, tot.df - coalesce(st.df, 0) as df, tot.cf - coalesce(st.cf, 0) as cf, (select count(*) from f) - k.n as n "
+    "from k cross join tot left join st on st.fold = k.fold and st.token = tot.token), "
+    "vv as materialized (select fold as space, token, ln((1.0 + n) / (1.0 + df)) + 1.0 as idf from nv where df >= 3 qualify row_number() over (partition by fold order by cf desc, token) <= 4000), "
+    "x0 as materialized (select space, doc_id, token, (1.0 + ln(tf)) * idf as v from tf join vv using (token)), "
+    "nn as (select space, doc_id, sqrt(sum(v * v)) as norm from x0 group by all), "
+    "x as materialized (select space, doc_id, token, v / norm as v from x0 join nn using (space, doc_id)), "
+    "s as (select vv.space, vv.token, coalesce(sum(v) filter (where f.y), 0) + 0.5 as pos, coalesce(sum(v) filter (where not f.y), 0) + 0.5 as neg "
+    "from vv left join x on x.space = vv.space and x.token = vv.token left join f on f.doc_id = x.doc_id and f.fold <> x.space group by all), "
+    "wt as (select space, token, ln(pos / sum(pos) over (partition by space)) - ln(neg / sum(neg) over (partition by space)) as w from s), "
+    "z as (select x.doc_id, sum(x.v * wt.w) as z from x join f on f.doc_id = x.doc_id and f.fold = x.space join wt on wt.space = x.space and wt.token = x.token group by all) "
+    "select f.doc_id, f.fold, round(1.0 / (1.0 + exp(-coalesce(z, 0.0))), 4) as probability from f left join z using (doc_id)"
+)
+
+
+@catalog.add("complement_nb", _FOLD_BAYES)
 def complement_nb(spark, folder):
-    _, _, features = training(spark, folder)
-    rows = labelled(spark, folder).withColumn("label", F.col("quality").cast("double")).join(features, "doc_id")
-    model = learn.complement_bayes(rows, "label")
-    scored = learn.probability(model, rows, "p")
-    return scored.select("doc_id", F.round("p", 4).alias("probability"))
+    rows, families = _families(spark, folder)
+    scored = jointfit.complement_bayes(_packed_folds(rows, families["char"]), ["good"])
+    return scored.select("doc_id", "fold", F.round("good", 4).alias("probability"))
 
 
 MARKERS = ("fee receipt", "registry extract", "work authorization intake", "biometric", "sponsor attestation", "manual note")
@@ -292,9 +357,16 @@ def composition(texts):
 @catalog.add("meta_router")
 def meta_router(spark, folder):
     """Out-of-fold probabilities of the router, a column for each leaf size."""
-    scores = _oof(spark, folder).withColumn("label", F.col("quality").cast("double"))
+    rows, families = _families(spark, folder)
+    scores, names = rows.select("doc_id", F.col("quality").cast("double").alias("label")), []
+    for family, tf in families.items():
+        packed = _packed_folds(rows, tf)
+        for learner, found in (("logistic", _logistic(packed)), ("bayes", jointfit.complement_bayes(packed, ["good", "bad"]))):
+            new = [f"{family}_{learner}_{t}" for t in ("good", "bad")]
+            found = found.toDF("doc_id", "fold", *new)
+            scores, names = scores.join(found if not names else found.drop("fold"), "doc_id"), names + new
     scores = scores.join(composition(src.texts(spark, folder)), "doc_id")
-    names = ["good", "bad", *[f"marker_{i}" for i in range(len(MARKERS))], "length"]
+    names += [*[f"marker_{i}" for i in range(len(MARKERS))], "length"]
     rows = durable(VectorAssembler(inputCols=names, outputCol="features").transform(scores).select("doc_id", "fold", "label", "features"))
     routed = learn.routed_out_of_fold(rows, "label", (5, 10, 20, 35), trees=300)
     return routed.select("doc_id", *[F.round(f"leaf_{n}", 4).alias(f"leaf_{n}") for n in (5, 10, 20, 35)])
@@ -307,7 +379,6 @@ def correctness_calibrator(spark, folder):
     A case's text is its metadata words and all its readings. n-grams stay inside
     words, so their counts add up and no case is put together.
     """
-    from evidentia import policy as fixed
     from evidentia.plans.catalog.evaluate import pairs
 
     rows = pairs(spark, folder)
