@@ -78,9 +78,14 @@ def _younger() -> tuple[regex.Pattern | None, regex.Pattern]:
     return regex.compile(f"[{other}]"), regex.compile("|".join(inside.get(part, part) for part in PATTERN.split("|")))
 
 
+def settled(text: str) -> bool:
+    """Whether all versions of Unicode cut a text alike."""
+    return _SETTLED.fullmatch(text) is not None
+
+
 def pre_tokens(text: str) -> list[str]:
     """A text cut by the rule of the vocabulary."""
-    if not _SETTLED.fullmatch(text):
+    if not settled(text):
         found, rule = _younger()
         if found and found.search(text):
             return rule.findall(text)
