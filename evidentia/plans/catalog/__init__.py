@@ -12,7 +12,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-FAMILIES = ("normalize", "extract", "resolve", "decide", "evaluate", "rank", "model", "fuzzy", "io", "full")
+FAMILIES = ("normalize", "extract", "resolve", "decide", "evaluate", "rank", "model", "fuzzy", "io", "scan", "full")
 
 
 class Catalog:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,16 @@ def get_session(app: str = "evidentia", master: str | None = None, partitions: i
     return builder.getOrCreate()
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="evidentia-")
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` through the reliable checkpoint folder.
 
