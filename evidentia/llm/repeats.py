@@ -8,8 +8,10 @@ belongs to one anchor. The suffixes at anchors are sorted, each with the bytes
 before it that its windows need.
 
 1. Copies of whole texts go by their digest; they need no sorting.
-2. Anchors whose gram occurs once can't repeat and are dropped (hash counts,
-   pre-aggregated).
+2. Anchors whose gram occurs once can't repeat and are dropped: hashes are
+   counted, pre-aggregated, those that occur twice put into a broadcast bitmap
+   of bounded size, and the texts read again. An anchor that passes by chance
+   meets no equal one.
 3. Each task sorts its suffixes into runs, front-coded (length of the prefix
    shared with the one before, then the rest), and exchanges them by gram.
    Equal suffixes of a run go as one.
@@ -234,21 +236,67 @@ def intervals(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.nda
 # -- Spark ------------------------------------------------------------------------------
 
 
+#: Bits of a bitmap for each key, and in all.
+_BITS_A_KEY, _MOST_BITS = 16, 1 << 29
+
+
+class Bitmap:
+    """A broadcast bitmap of 64-bit hashes: what it lacks was surely not put in.
+
+    Sixteen bits a key up to 64 MB; beyond that more hashes share a bit, which
+    costs work but no result.
+    """
+
+    def __init__(self, keys: DataFrame, name: str):
+        spark = keys.sparkSession
+        self.size = min(_MOST_BITS, 1 << max(16, (keys.count() * _BITS_A_KEY - 1).bit_length()))
+        size, slices = self.size, 64
+        width = size // slices
+
+        def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[int, np.ndarray] = {}
+            for batch in batches:
+                spots = batch["spot"].to_numpy()
+                for part in np.unique(spots // width).tolist():
+                    held.setdefault(part, np.zeros(width, bool))[spots[spots // width == part] % width] = True
+            packed = [np.packbits(bits, bitorder="little").tobytes() for bits in held.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(packed, pa.binary())], ["part", "bits"])
+
+        spots = keys.select(F.col(name).bitwiseAND(F.lit(size - 1)).alias("spot")).withColumn("part", F.floor(F.col("spot") / width))
+        bits = np.zeros(size // 8, np.uint8)
+        for row in spots.repartition(slices, "part").select("spot").mapInArrow(build, "part int, bits binary").collect():  # 64 MB at most
+            bits[row["part"] * (width // 8) : (row["part"] + 1) * (width // 8)] = np.frombuffer(row["bits"], np.uint8)
+        self.shared = spark.sparkContext.broadcast(bits)
+
+    def test(self):
+        """A function for tasks: which of an array of hashes may have been put in."""
+        shared, mask = self.shared, self.size - 1
+
+        def held(hashes: np.ndarray) -> np.ndarray:
+            spots = hashes & mask
+            return (shared.value[spots >> 3] >> (spots & 7).astype(np.uint8) & 1).astype(bool)
+
+        return held
+
+    def column(self, hashes):
+        """The same for a column of hashes."""
+        held = self.test()
+
+        @F.arrow_udf("boolean")
+        def looked_up(values: pa.Array) -> pa.Array:
+            return pa.array(held(values.to_numpy(zero_copy_only=False).astype(np.int64)))
+
+        return looked_up(hashes)
+
+
 def _all_anchors(how: Repeats):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch["text"].cast(pa.binary())
             for at in range(0, batch.num_rows, 500):
-                hashes, sizes = [], []
-                for text in texts.slice(at, 500).to_pylist():
-                    found = anchors(np.frombuffer(text, np.uint8), how)
-                    hashes.append(found[3])
-                    sizes.append(len(found[3]))
-                docs = np.repeat(batch["doc_id"].slice(at, 500).to_numpy(), sizes)
-                number = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hashes)), pa.array(docs), pa.array(number)], ["h", "doc_id", "number"]
-                )
+                hashes = [anchors(np.frombuffer(text, np.uint8), how)[3] for text in texts.slice(at, 500).to_pylist()]
+                grams, times = np.unique(np.concatenate(hashes), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(times)], ["h", "times"])
 
     return run
 
@@ -257,8 +305,8 @@ _FOUND = "doc_id long, start int, stop int"
 _RUNS = "part long, run binary, " + _FOUND
 
 
-def _write_runs(how: Repeats, parts: int):
-    """Front-coded runs by part, and intervals decided within the task."""
+def _write_runs(how: Repeats, parts: int, held_twice, hot: np.ndarray):
+    """Front-coded runs by part, and intervals decided within the task, of anchors that may repeat and are not hot."""
     schema = pa.schema(
         [("part", pa.int64()), ("run", pa.binary()), ("doc_id", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())]
     )
@@ -301,9 +349,8 @@ def _write_runs(how: Repeats, parts: int):
                 doc = batch["doc_id"][at].as_py()
                 data = np.frombuffer(text, np.uint8)
                 found = anchors(data, how)
-                chosen = np.array(batch["numbers"][at].as_py(), np.int64)
-                hot = np.array(batch["hot"][at].as_py(), bool)
-                for place, first, last, h in zip(*[x[chosen[~hot]].tolist() for x in found]):
+                chosen = held_twice(found[3]) & ~np.isin(found[3], hot)
+                for place, first, last, h in zip(*[x[chosen].tolist() for x in found]):
                     rows[h % parts].append((suffix_of(text, place, first, last, how.window), doc, place, first, last))
                     held += 1
                 if held > 400_000:
@@ -314,7 +361,7 @@ def _write_runs(how: Repeats, parts: int):
     return run
 
 
-def _hot_windows(how: Repeats):
+def _hot_windows(how: Repeats, hot: np.ndarray):
     """Every window whose anchor's gram is hot, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,9 +369,10 @@ def _hot_windows(how: Repeats):
         for batch in batches:
             for row in range(batch.num_rows):
                 data = np.frombuffer(batch["text"][row].as_py().encode("utf-8", "surrogatepass"), np.uint8)
-                hot = np.array(batch["numbers"][row].as_py(), np.int64)[np.array(batch["hot"][row].as_py(), bool)]
+                found = anchors(data, how)
+                chosen = np.isin(found[3], hot)
                 views = np.lib.stride_tricks.sliding_window_view(data, how.window)
-                for first, last in zip(*[x[hot].tolist() for x in anchors(data, how)[1:3]]):
+                for first, last in zip(*[x[chosen].tolist() for x in found[1:3]]):
                     hashes = (_BYTES[views[first : last + 1]] * powers).sum(1, dtype=np.uint64).view(np.int64)
                     starts = np.arange(first, last + 1, dtype=np.int32)
                     docs = np.full(len(starts), batch["doc_id"][row].as_py(), np.int64)
@@ -401,15 +449,14 @@ def repeated_intervals(docs: DataFrame, how: Repeats = Repeats(), parts: int | N
     spark = docs.sparkSession
     parts = parts or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     long = docs.where(F.octet_length("text") >= how.window)
-    every = long.mapInArrow(_all_anchors(how), "h long, doc_id long, number int")
-    frequent = every.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    chosen = every.join(frequent, "h").select("doc_id", F.struct("number", (F.col("df") > how.hot).alias("hot")).alias("a"))
-    chosen = chosen.groupBy("doc_id").agg(F.array_sort(F.collect_list("a")).alias("a"))
-    chosen = chosen.select("doc_id", F.col("a.number").alias("numbers"), F.col("a.hot").alias("hot"))
-    rows = long.join(chosen, "doc_id").select("doc_id", "text", "numbers", "hot")
-    runs = rows.mapInArrow(_write_runs(how, parts), _RUNS)
+    counted = long.mapInArrow(_all_anchors(how), "h long, times long").groupBy("h").agg(F.sum("times").alias("df"))
+    frequent = stored(counted.where("df > 1"))
+    hottest = np.array([r["h"] for r in frequent.where(F.col("df") > how.hot).select("h").collect()], np.int64)  # one in hot anchors at most
+    runs = long.mapInArrow(_write_runs(how, parts, Bitmap(frequent, "h").test(), hottest), _RUNS)
     found = runs.repartition(parts, "part").mapInArrow(_merge_runs(how), _FOUND)
-    hot = rows.where(F.exists("hot", lambda x: x)).mapInArrow(_hot_windows(how), "doc_id long, start int, window_hash long")
+    if not len(hottest):
+        return found
+    hot = long.mapInArrow(_hot_windows(how, hottest), "doc_id long, start int, window_hash long")
     first = hot.groupBy("window_hash").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("f")).where("n > 1")
     late = hot.join(first, "window_hash").where((F.col("f.doc_id") != F.col("doc_id")) | (F.col("f.start") != F.col("start")))
     return found.unionByName(late.select("doc_id", "start", (F.col("start") + how.window).alias("stop")))
@@ -444,34 +491,36 @@ def without_repeats(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     the id with other texts are returned unchanged. Empty tables give an empty
     result, further columns are not read.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     addressed = rows.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
-    long = (F.octet_length("text") >= how.window) & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("digest").isNotNull()
+    long_text = (F.octet_length("text") >= how.window) & F.col("doc_id").isNotNull()
+    long = long_text & F.col("digest").isNotNull()
     narrow = stored(addressed.where(long).select("doc_id", "digest"))
     own = narrow.groupBy("doc_id").agg(F.min("digest").alias("digest"), F.count("*").alias("times"))
     first = own.groupBy("digest").agg(F.min("doc_id").alias("first"))
     own = stored(own.join(first, "digest"))
     copies = own.where("doc_id <> first").select("doc_id", "digest", F.lit(True).alias("copy"))
-    # one shuffle of the texts: the joins below and the cut all read this exchange
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    texts = addressed.where(long).repartition(parts, "doc_id")
-    sources = own.where("doc_id = first").select("doc_id", F.col("digest").alias("wanted"), "times")
-    source = texts.join(sources, "doc_id").where("digest = wanted").select("doc_id", "text", "times")
-    if own.where("times > 1").limit(1).count():
-        source = source.dropDuplicates(["doc_id"])
-    found = repeated_intervals(source.select("doc_id", "text"), how)
+    # Texts that are no copy and whose id is unique take part as they are read; only the others move, to be settled exactly.
+    maybe = Bitmap(own.where("times > 1 or doc_id <> first").select(F.xxhash64("doc_id").alias("h")), "h")
+    texts = addressed.where(long)
+    apart = maybe.column(F.xxhash64("doc_id"))
+    sources = own.where("doc_id = first").select("doc_id", F.col("digest").alias("wanted"))
+    settled = texts.where(apart).join(sources, "doc_id").where("digest = wanted").select("doc_id", "text").dropDuplicates(["doc_id"])
+    source = rows.where(long_text).where(~apart).unionByName(settled)
+    found = repeated_intervals(source, how)
     found = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("i"))
     found = found.join(own.select("doc_id", F.col("digest").alias("wanted"), "first").where("doc_id = first").drop("first"), "doc_id")
     whole = copies.select("doc_id", F.array(F.struct(F.lit(0).alias("start"), F.lit(2**31 - 1).alias("stop"))).alias("i"), F.col("digest").alias("wanted"))
-    found = found.select("doc_id", "i", "wanted").unionByName(whole)
-    joined = texts.join(found, "doc_id", "left")
+    found = stored(found.select("doc_id", "i", "wanted").unionByName(whole))
+    # Texts that lose nothing stay where they are.
+    touched = Bitmap(found.select(F.xxhash64("doc_id").alias("h")), "h").column(F.xxhash64("doc_id"))
+    joined = texts.where(touched).join(found, "doc_id", "left")
     mine = F.when(F.col("digest") == F.col("wanted"), F.col("i"))
     limit = lambda c: F.transform(mine, lambda x: F.least(x[c], F.octet_length("text")))
     cut = joined.select("doc_id", "text", limit("start").alias("starts"), limit("stop").alias("stops"))
     none = F.lit(None).cast("array<int>")
     rest = rows.where(~F.coalesce((F.octet_length("text") >= how.window) & F.col("doc_id").isNotNull(), F.lit(False)))
-    rest = rest.select("doc_id", "text", none.alias("starts"), none.alias("stops"))
+    rest = rest.unionByName(rows.where(long_text).where(~touched)).select("doc_id", "text", none.alias("starts"), none.alias("stops"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     return cut.mapInArrow(_cut, schema).unionByName(rest.mapInArrow(_cut, schema))
 
