@@ -113,13 +113,44 @@ _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _PLAIN_TEXT = re.compile("[ -~\t\n\rÀ-ÖØ-öø-ÿ]*")
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^a-z0-9À-ÖØ-öø-ÿ]+")
 _WORD_END = "</w>"
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+#: Kind of each byte of a plain lower-case text; its only bytes beyond ASCII are those of Latin letters.
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[list(b" \t\n\r")] = _SPACE
+_KINDS[[*range(ord("a"), ord("z") + 1), *range(128, 256)]] = _LETTER
+_KINDS[list(b"0123456789")] = _DIGIT
+#: Bytes of plain texts that are cut at a time.
+_AT_ONCE = 8 << 20
+
+
+def part_ends(data: np.ndarray) -> np.ndarray:
+    """Where the pre-tokens of plain lower-case bytes end, white space in front of each going with it.
+
+    A run of letters or of other characters is a pre-token, as is every digit.
+    An apostrophe that begins a run of others takes a short ending with it.
+    """
+    kind = np.append(_KINDS[data], _SPACE)
+    before = kind[:-1]
+    ends = (before != _SPACE) & ((before != kind[1:]) | (before == _DIGIT))
+    marks = np.flatnonzero(data == ord("'"))
+    marks = marks[(marks == 0) | (before[marks - 1] != _OTHER)]
+    padded = np.append(data, [0, 0])
+    first, second = padded[marks + 1], padded[marks + 2]
+    one = np.isin(first, list(b"stmd"))
+    two = ((second == ord("e")) & np.isin(first, list(b"rv"))) | ((first == ord("l")) & (second == ord("l")))
+    ends[marks[one | two]] = False
+    ends[marks[one] + 1] = True
+    ends[marks[two] + 2] = True
+    return np.flatnonzero(ends) + 1
 
 
 class WordTokenizer:
-    """The ids of a text by its words: the pre-tokenizer never joins across white space.
+    """The ids of a text by its pre-tokens, which the library encodes apart from each other.
 
-    Words are cached; a new one is cut into its pre-tokens, and the library
-    encodes the pre-tokens that are new, many at a time.
+    Plain texts are cut together, as one array of bytes; the library encodes
+    each distinct pre-token that is new, many at a time, and ids are gathered
+    by dictionary index. Other texts go by words, as the pre-tokenizer never
+    joins across white space; words are cached.
     """
 
     def __init__(self, path: str):
@@ -148,16 +179,55 @@ class WordTokenizer:
 
     def batch(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null is empty."""
+        group: list[str] = []
+        size, plain = 0, True
+        for text in texts:
+            text = text or ""
+            kind = _PLAIN_TEXT.fullmatch(text) is not None and "<|" not in text
+            if group and (kind != plain or size > _AT_ONCE):
+                yield from self._plain(group) if plain else self._words(group)
+                group, size = [], 0
+            group.append(text)
+            size += len(text)
+            plain = kind
+        if group:
+            yield from self._plain(group) if plain else self._words(group)
+
+    def _plain(self, texts: list[str]) -> Iterator[bytes]:
+        raw = [text.lower().encode() + b"\n" for text in texts]
+        data = b"".join(raw)
+        ends = part_ends(np.frombuffer(data, np.uint8))
+        offsets = pa.py_buffer(np.append(0, ends).astype(np.int64))
+        parts = pa.LargeStringArray.from_buffers(len(ends), offsets, pa.py_buffer(data)).dictionary_encode()
+        distinct = [p.lstrip(" \t\n\r") for p in parts.dictionary.to_pylist()]
+        known = self._parts
+        if len(known) >= _KEEP_PARTS:
+            known.clear()
+        missing = list({p for p in distinct if p not in known})
+        for at in range(0, len(missing), 20_000):
+            some = missing[at : at + 20_000]
+            known.update(zip(some, self._encode_parts(some)))
+        ids = [known[p] for p in distinct]
+        for part in missing:
+            if len(part) > _LONGEST:
+                del known[part]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(counts) - counts
+        index = parts.indices.to_numpy()
+        width = counts[index]
+        done = np.append(0, np.cumsum(width))
+        places = np.repeat(first[index] - done[:-1], width) + np.arange(done[-1])
+        tokens = np.frombuffer(b"".join(ids), "<u4")[places]
+        stops = done[np.searchsorted(ends, np.cumsum([len(r) for r in raw]), "right")].tolist()
+        for start, stop in zip([0, *stops], stops):
+            yield tokens[start:stop].tobytes()
+
+    def _words(self, texts: list[str]) -> Iterator[bytes]:
         group: list[list[str]] = []
         size = 0
         for text in texts:
-            text = text or ""
-            if _PLAIN_TEXT.fullmatch(text) and "<|" not in text:
-                words = text.lower().split()  # as the normaliser does, so that fewer words differ
-            elif any(c in text for c in "\x1c\x1d\x1e\x1f"):
-                words = [text]  # Python also splits at these four, the library does not
-            else:
-                words = text.split()
+            # Python also splits at these four, the library does not
+            words = [text] if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
             group.append(words)
             size += len(words)
             if size > 300_000:

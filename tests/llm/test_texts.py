@@ -99,6 +99,21 @@ def test_files_hold_documents_in_order(spark, odd_documents):
     assert sorted(map(tuple, found)) == sorted({(p, every[p]) for p in wanted if p < len(every)})
 
 
+def test_pre_tokens_of_plain_and_other_texts_equal_the_library():
+    pick = random.Random(5)
+    plain = ["'", "s", "t", "re", "ve", "ll", "d", "m", "l", " ", "  ", "\n", "\t", "1", "23", "!", '"', "É", "é", "ß", "A", "Q", "-", "ÿ", "s" * 60]
+    other = [*plain, "<|", "×", "中", "\x1c", "\x0b", "😀"]
+    texts = ["".join(pick.choices(plain, k=pick.randint(0, 14))) for _ in range(6000)]
+    texts += ["".join(pick.choices(other, k=pick.randint(0, 14))) for _ in range(3000)] + [None, "", "a'" * 3000]
+    pick.shuffle(texts)
+    model = Tokenizer.from_file(WORDS)
+    wanted = [np.array(e.ids, "<u4").tobytes() for e in model.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    tokenizer = token_files.WordTokenizer(WORDS)
+    assert list(tokenizer.batch(texts)) == wanted
+    assert list(tokenizer.batch(texts)) == wanted  # from the caches
+    assert list(tokenizer.batch([])) == []
+
+
 def test_files_of_no_documents(spark, no_documents):
     folder = token_files.write_files(no_documents, WORDS)
     assert token_files.read_documents(spark, folder).count() == 0
