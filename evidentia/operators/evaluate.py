@@ -109,6 +109,16 @@ def grouped_metrics(pairs: DataFrame, group: str) -> DataFrame:
     )
 
 
+def strict_join(rows: DataFrame, known: DataFrame, key: str = "case_id") -> DataFrame:
+    """``rows`` with the columns of ``known``; the action fails when ``known`` lacks a key of ``rows``.
+
+    ``known`` holds a key once. Checked where rows are joined, so no pass is added.
+    """
+    joined = rows.join(known.withColumn("__held", F.lit(True)), key, "left")
+    absent = F.concat(F.lit(f"no row for {key} "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    return joined.filter(F.assert_true(F.col("__held").isNotNull(), absent).isNull()).drop("__held")
+
+
 def missing_groups(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """Comparable cases the group map does not know; must be empty to report."""
     return pairs.select("case_id").join(groups.select("case_id"), "case_id", "left_anti")

@@ -10,6 +10,8 @@ from evidentia.plans import bindings as src, sqltext as q
 from evidentia.plans.catalog import Catalog
 from evidentia.plans.catalog.resolve import CANDIDATES, candidates
 from evidentia.policy import DEFAULT
+from evidentia.session import shared_path
+from evidentia.sources import readers, sinks
 
 catalog = Catalog()
 BOTH = f"with {src.cte('predictions', src.PREDICTIONS)}, {src.cte('truth', src.TRUTH)}"
@@ -198,8 +200,7 @@ def traces(spark, folder):
     return text.select(F.from_json("trace", schemas.TRACE).alias("t")).select("t.*")
 
 
-@catalog.add(
-    "trace_counters",
+TRACE_COUNTERS = (
     CANDIDATES
     + ", crop as (select case_id, field, page, crop_no, count(*) as n, count(*) filter (where value <> '') as v, "
     "count(*) filter (where chain = 'crop+rescale_2x') as r, case when bool_or(value <> '' and chain = 'crop+native') then 0 "
@@ -209,12 +210,36 @@ def traces(spark, folder):
     "select any_value(pg.cases) as cases, any_value(pg.pages) as pages, any_value(pg.pages) as region_proposals, sum(n)::bigint as roi_candidates, sum(v)::bigint as valid_candidates, "
     "sum(r)::bigint as retry_reads, sum(rec)::bigint as retry_recoveries, (select count(*) from best) as selected_ledger_fields, "
     "(select count(*) from (select distinct c.case_id, c.field, c.value from candidates c join best b using (case_id, field) where c.value <> '' and c.value <> b.value)) as conflicting_values, "
-    "1.0::double as proposals_per_page, round(sum(n) / any_value(pg.pages), 6) as candidates_per_page from crop, pg",
+    "1.0::double as proposals_per_page, round(sum(n) / any_value(pg.pages), 6) as candidates_per_page from crop, pg"
 )
+
+
+@catalog.add("trace_counters", TRACE_COUNTERS)
 def trace_counters(spark, folder):
     return op.trace_counters(traces(spark, folder))
 
 
+@catalog.add("trace_files", TRACE_COUNTERS)
+def trace_files(spark, folder):
+    """The counters from files, one per case, written to the shared folder and read again."""
+    path = shared_path(spark, "traces")
+    sinks.write_traces(traces(spark, folder), path)
+    return op.trace_counters(readers.read_traces(spark, path))
+
+
+@catalog.add(
+    "strict_case_texts",
+    f"with {src.cte('truth', src.TRUTH)}, {src.cte('readings', src.READINGS)} select t.case_id, t.adjudication, count(*) as readings, "
+    "sum(length(r.text))::bigint as characters from truth t left join readings r using (case_id) group by all",
+)
+def strict_case_texts(spark, folder):
+    """Labelled cases with what a fit reads of them; a case without a reading would fail the query."""
+    texts = src.bind(spark, folder, src.READINGS).groupBy("case_id").agg(
+        F.count(F.lit(1)).alias("readings"), F.sum(F.length("text")).alias("characters")
+    )
+    return op.strict_join(src.bind(spark, folder, src.TRUTH).select("case_id", "adjudication"), texts)
+
+
 @catalog.add(
     "failure_classes",
     PAIRS + f", {src.cte('readings', src.READINGS)}, m as ("

@@ -9,7 +9,8 @@ from evidentia.operators import regions
 from evidentia.plans import bindings as src
 from evidentia.plans.catalog import Catalog
 from evidentia.plans.catalog.resolve import candidates
-from evidentia.sources import vocab
+from evidentia.session import shared_path
+from evidentia.sources import readers, sinks, vocab
 
 catalog = Catalog()
 _RECORD = [n for n in schemas.RECORDS.names]
@@ -24,6 +25,17 @@ def jsonl_roundtrip(spark, folder):
     return rows.select(F.from_json("line", schemas.RECORDS).alias("r")).select("r.*")
 
 
+@catalog.add(
+    "record_files",
+    f"with {src.cte('predictions', src.PREDICTIONS)} select {', '.join(_RECORD)} from predictions",
+)
+def record_files(spark, folder):
+    """Records written as JSON lines to the shared folder and read again, keys checked by the plan."""
+    path = shared_path(spark, "records")
+    sinks.write_records(src.bind(spark, folder, src.PREDICTIONS), path)
+    return readers.read_records(spark, path, in_plan=True).select(*_RECORD)
+
+
 @catalog.add(
     "vocab_distinct",
     f"with {src.cte('truth', src.TRUTH)} "

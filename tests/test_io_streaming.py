@@ -2,13 +2,15 @@
 
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from evidentia import policy as fixed, schemas
-from evidentia.operators import merge, rank, sweep, textmodel as tm
+from evidentia.operators import evaluate, merge, rank, sweep, textmodel as tm
 from evidentia.plans import adjudicate as plan
 from evidentia.sources import readers, sinks
+from evidentia.sources.tracefiles import TraceWriter
 from evidentia.streaming import incremental
 
 
@@ -38,6 +40,68 @@ def test_record_keys_are_checked(spark, tmp_path, lines, message):
         readers.read_records(spark, path)
 
 
+def test_keys_are_checked_by_the_plan(spark, tmp_path):
+    def rows(*lines):
+        return readers.read_records(spark, write(tmp_path / "r.jsonl", "\n".join(lines)), in_plan=True)
+
+    good = rows('{"case_id": "a"}', "", '{"case_id": "b"}')
+    plan = good._jdf.queryExecution().executedPlan().toString()  # before it runs, so without a second, final plan
+    assert sorted(r.case_id for r in good.collect()) == ["a", "b"]
+    assert plan.count("Scan text") == 1 and "__place" not in good.columns
+    for lines, message in (
+        (['{"case_id": "a"}'] * 2, "duplicate case_id value: a"),
+        (['{"case_id": 5}'], "without a string case_id"),
+        (['{"case_id": ""}', '{"case_id": "a"}'], "without a string case_id"),
+        (['{"other": "a"}'], "without a string case_id"),
+    ):
+        with pytest.raises(Exception, match=message):
+            rows(*lines).count()  # also when no column is asked for
+    assert readers.read_case_texts(spark, write(tmp_path / "none.jsonl", ""), in_plan=True).count() == 0
+
+
+def test_strict_join(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "case_id string, v int")
+    known = spark.createDataFrame([("a", "x"), ("b", None), ("c", "z")], "case_id string, w string")
+    got = evaluate.strict_join(rows, known)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == [("a", 1, "x"), ("a", 2, "x"), ("b", 3, None)]
+    for key in ("d", None):
+        more = rows.union(spark.createDataFrame([(key, 4)], rows.schema))
+        with pytest.raises(Exception, match=f"no row for case_id {key or 'null'}"):
+            evaluate.strict_join(more, known).count()
+
+
+def _traces(spark, *cases):
+    return spark.createDataFrame([(c, [], []) for c in cases], schemas.TRACE)
+
+
+def test_a_trace_file_per_case(spark, tmp_path):
+    cases = ["a", "b/../c", ".hidden", "_x", "é 100%", "long" * 80]
+    folder = tmp_path / "out"
+    assert not sinks.write_traces(_traces(spark, *cases), None) and not folder.exists()
+    assert sinks.write_traces(_traces(spark, *cases), str(folder))
+    assert len(list(folder.rglob("*.trace.json"))) == len(cases)
+    assert sorted(r.case_id for r in readers.read_traces(spark, str(folder)).collect()) == sorted(cases)
+    # in place of the earlier run
+    assert sinks.write_traces(_traces(spark, "a", "z"), f"file:{folder}")
+    assert sorted(r.case_id for r in readers.read_traces(spark, str(folder)).collect()) == ["a", "z"]
+    for bad, message in ((("q", "q"), "two traces of case q"), (("q", None), "without a case_id"), (("",), "without a case_id")):
+        with pytest.raises(Exception, match=message):
+            sinks.write_traces(_traces(spark, *bad), str(folder))
+        assert not list(folder.glob(".run-*"))
+    assert sorted(r.case_id for r in readers.read_traces(spark, str(folder)).collect()) == ["a", "z"]
+    assert sinks.write_traces(_traces(spark), str(folder))
+    assert readers.read_traces(spark, str(folder)).count() == 0
+
+
+def test_repeated_attempts_of_a_task_do_not_mix(tmp_path):
+    writer = TraceWriter(str(tmp_path / "out"), overwrite=False)
+    batch = pa.RecordBatch.from_pydict({"case_id": ["a", "b"], "trace": ["{}", "{}"]})
+    first, second = writer.write(iter([batch])), writer.write(iter([batch]))
+    writer.commit([second, None])
+    assert first.folder != second.folder
+    assert len(list((tmp_path / "out").rglob("*.trace.json"))) == 2
+
+
 def test_group_map(spark, tmp_path):
     good = readers.read_groups(spark, write(tmp_path / "g.json", '{"a": "g1",\n "b": "g2"}'))
     assert {(r.case_id, r.grp) for r in good.collect()} == {("a", "g1"), ("b", "g2")}
