@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evidentia import policy as fixed
 from evidentia.functions import similarity, text as tx
 from evidentia.policy import DEFAULT, Policy
 
 LINE = ("case_id", "page", "block", "paragraph", "line")
+#: Words of the longest span that is held against labels.
+MOST_WORDS = 3
 
 
 def valid_words(words: DataFrame) -> DataFrame:
@@ -70,17 +72,47 @@ def anchor_similarity(observed: Column, expected: Column, floor: float = 0.0) ->
     return F.when(~usable, 0.0).when(held, 1.0).otherwise(near)
 
 
+def label_spans(words: DataFrame) -> DataFrame:
+    """Every run of one to three words of a line as one row with its text and box.
+
+    Words of a line are numbered from the left; a run is a word and those that a
+    window finds behind it, so no row holds a line.
+    """
+    order = Window.partitionBy(*LINE).orderBy("left", "text", "top", "width", "height")
+    word = F.struct(
+        "text", "top", (F.col("left") + F.col("width")).alias("right"), (F.col("top") + F.col("height")).alias("bottom")
+    )
+    behind = {f"_{i}": F.lead(word, i).over(order) for i in range(1, MOST_WORDS)}
+    joined = words.withColumns({"start": F.row_number().over(order) - 1, "_0": word, **behind})
+    run = F.filter(F.array(*[f"_{i}" for i in range(MOST_WORDS)]), lambda x: x.isNotNull())
+    rows = joined.withColumn("run", run).withColumn("count", F.explode(F.sequence(F.lit(1), F.size("run"))))
+    rows = rows.withColumn("span", F.slice("run", 1, F.col("count")))
+    return rows.select(
+        *[c for c in words.columns if c not in ("text", "confidence", "left", "top", "width", "height")],
+        "start",
+        "count",
+        F.array_join(F.transform("span", lambda x: x["text"]), " ").alias("span_text"),
+        F.array_min(F.transform("span", lambda x: x["top"])).alias("top"),
+        F.array_max(F.transform("span", lambda x: x["right"])).alias("right"),
+        F.array_max(F.transform("span", lambda x: x["bottom"])).alias("bottom"),
+    )
+
+
 def propose_regions(
-    words: DataFrame, page_width: int, page_height: int, layout: str = "other", policy: Policy = DEFAULT
+    words: DataFrame,
+    page_width: int | Column,
+    page_height: int | Column,
+    layout: str | Column = "other",
+    policy: Policy = DEFAULT,
 ) -> DataFrame:
     """Value regions right of and below label-like spans, at most two per page and field.
 
+    Sizes and layout are values, or columns of ``words`` for pages of their own.
     A span competes only with labels of about its length (the length bound of
     the measure), so a line yields few scored pairs.
     """
-    line = words.groupBy(*LINE).agg(
-        F.sort_array(F.collect_list(F.struct("left", "text", "top", "width", "height"))).alias("w")
-    )
+    sizes = {"page_width": page_width, "page_height": page_height, "layout": layout}
+    sizes = {n: v if isinstance(v, Column) else F.lit(v) for n, v in sizes.items()}
     labels = [
         (field, label, len(label.split()), order)
         for field, group in fixed.ANCHOR_LABELS.items()
@@ -94,13 +126,8 @@ def propose_regions(
             for f, l, n, o in labels
         ]
     )
-    starts = line.withColumn("start", F.explode(F.sequence(F.lit(0), F.size("w") - 1)))
-    spans = starts.withColumn(
-        "count", F.explode(F.sequence(F.lit(1), F.least(F.size("w") - F.col("start"), F.lit(3))))
-    ).withColumn("span", F.slice("w", F.col("start") + 1, F.col("count")))
-    spans = spans.withColumn(
-        "segment", tx.anchor_text(F.array_join(F.transform("span", lambda x: x["text"]), " "))
-    )
+    placed = words.select(*LINE, "text", "left", "top", "width", "height", *[c.alias(n) for n, c in sizes.items()])
+    spans = label_spans(placed).withColumn("segment", tx.anchor_text(F.col("span_text")))
     n = F.length("segment")
     bound = policy.anchor_score
     fitting = F.filter(
@@ -114,12 +141,10 @@ def propose_regions(
     pairs = spans.filter(n > 0).withColumn("l", F.explode(fitting))
     held = F.contains("segment", F.col("l.label"))
     near = similarity.pair_ratio(bound)(F.when(~held, F.col("segment")), F.col("l.label"))
-    scored = pairs.withColumn("quality", F.when(held, 1.0).otherwise(near)).filter(
-        F.col("quality") >= bound
-    )
+    scored = pairs.withColumn("quality", F.when(held, 1.0).otherwise(near)).filter(F.col("quality") >= bound)
     best = scored.groupBy(*LINE, F.col("l.field").alias("field")).agg(
         F.max_by(
-            F.struct("span", "quality", "w"),
+            F.struct("quality", "top", "right", "bottom", *sizes),
             F.struct(
                 "quality",
                 F.col("l.size").alias("size"),
@@ -130,34 +155,27 @@ def propose_regions(
             ),
         ).alias("b")
     )
-    span = F.col("b.span")
-    top = F.array_min(F.transform(span, lambda x: x["top"]))
-    right = F.array_max(F.transform(span, lambda x: x["left"] + x["width"]))
-    bottom = F.array_max(F.transform(span, lambda x: x["top"] + x["height"]))
-    boxed = best.withColumns({"t": top, "r": right, "b2": bottom}).withColumn(
-        "h", F.greatest(F.lit(1), F.col("b2") - F.col("t"))
-    )
-    box = F.struct(
-        F.least(
-            F.lit(page_width), F.col("r") + F.greatest(F.lit(1), F.floor(F.col("h") / 3).cast("int"))
-        ).alias("left"),
-        F.greatest(F.lit(0), F.col("t") - F.col("h")).alias("top"),
-        F.lit(page_width).alias("right"),
-        F.least(F.lit(page_height), F.col("b2") + F.col("h") * 5).alias("bottom"),
-    )
     from evidentia.operators.rank import first_n
 
-    kept = first_n(
-        boxed, ["case_id", "page", "field"], ["block", "paragraph", "line"], policy.proposals_per_field
+    kept = first_n(best, ["case_id", "page", "field"], ["block", "paragraph", "line"], policy.proposals_per_field)
+    in_order = F.sort_array(F.collect_list(F.struct("left", "text", "top", "width", "height")))
+    lines = words.groupBy(*LINE).agg(F.array_join(F.transform(in_order, lambda w: w["text"]), " ").alias("anchor_text"))
+    height = F.greatest(F.lit(1), F.col("b.bottom") - F.col("b.top"))
+    beside = F.col("b.right") + F.greatest(F.lit(1), F.floor(height / 3).cast("int"))
+    box = F.struct(
+        F.least(F.col("b.page_width"), beside).alias("left"),
+        F.greatest(F.lit(0), F.col("b.top") - height).alias("top"),
+        F.col("b.page_width").alias("right"),
+        F.least(F.col("b.page_height"), F.col("b.bottom") + height * 5).alias("bottom"),
     )
-    return kept.select(
+    return kept.join(lines, list(LINE)).select(
         "case_id",
         "page",
         F.col("field").alias("field_or_section"),
         box.alias("bounding_region"),
-        F.array_join(F.transform("b.w", lambda x: x["text"]), " ").alias("anchor_text"),
+        "anchor_text",
         F.round("b.quality", 3).alias("anchor_quality"),
-        F.lit(layout).alias("layout_family"),
+        F.col("b.layout").alias("layout_family"),
         F.lit("label_value_roi").alias("proposed_reader"),
     )
 

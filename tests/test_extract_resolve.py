@@ -184,6 +184,26 @@ def test_region_proposal(spark):
     assert found[0].anchor_quality == 1.0 and box.left < 76 and box.right == 200
 
 
+def test_regions_on_pages_of_different_sizes(spark):
+    rows = [(case, 1, w, 90.0, left, 40, 30, 8, 1, 1, 1) for case in "CD" for w, left in (("paid", 90), ("Status", 42), ("Fee", 10))]
+    words = spark.createDataFrame(rows, schemas.WORDS)
+    wide = F.when(F.col("case_id") == "C", 200).otherwise(60)
+    found = regions.propose_regions(words, wide, 50, F.lower("case_id")).collect()
+    got = {r.case_id: (r.bounding_region.left, r.bounding_region.right, r.bounding_region.bottom, r.layout_family, r.anchor_text) for r in found}
+    assert got == {"C": (74, 200, 50, "c", "Fee Status paid"), "D": (60, 60, 50, "d", "Fee Status paid")}
+    assert regions.propose_regions(words.limit(0), 10, 10).count() == 0
+
+
+def test_spans_against_slices_of_the_line(spark):
+    rows = [("C", 1, f"w{i}", 90.0, 10 * i, 40 + i % 2, 9, 8, 1, 1, line) for line in range(3) for i in range(line * 2)]
+    got = regions.label_spans(spark.createDataFrame(rows, schemas.WORDS)).collect()
+    wanted = {
+        (line, start, " ".join(f"w{i}" for i in range(start, start + n)), 10 * (start + n - 1) + 9)
+        for line in range(3) for start in range(line * 2) for n in (1, 2, 3) if start + n <= line * 2
+    }
+    assert {(r.line, r.start, r.span_text, r.right) for r in got} == wanted and len(got) == len(wanted)
+
+
 def test_scorers(spark):
     text = spark.createDataFrame([("a", "123"), ("b", "987"), ("c", "research"), ("d", "zz")], "case_id string, text string")
 
