@@ -106,12 +106,13 @@ def orient_pages(angled: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     page is nearly unlabelled, the rotated text has enough labels and clearly
     more than the native text, and it beats the other rotation.
     """
-    mask = label_mask(F.col("text"))
+    # a column of its own: inside the conditions every label would fold the text anew
+    masked = angled.select("case_id", "page", "angle", label_mask(F.col("text")).alias("mask"))
 
     def score(angle: int) -> Column:
-        return F.coalesce(F.bit_count(F.bit_or(F.when(F.col("angle") == angle, mask))), F.lit(0))
+        return F.coalesce(F.bit_count(F.bit_or(F.when(F.col("angle") == angle, F.col("mask")))), F.lit(0))
 
-    scored = angled.groupBy("case_id", "page").agg(
+    scored = masked.groupBy("case_id", "page").agg(
         score(0).alias("native"), score(90).alias("left"), score(270).alias("right")
     )
     best = F.greatest("left", "right")
