@@ -1,8 +1,8 @@
 """Character n-gram models: features, vocabulary, and scoring as joins.
 
-A model is a weight table (token, idf, coefs) with a small header. Texts are
-exploded to n-grams, cut down to the tokens some model knows by joining the
-weight table before any shuffle, and folded to one row per text and model.
+A model is a weight table (token, idf, coefs) with a small header. The n-grams
+of a text are counted where it lies, cut down to the tokens some model knows by
+joining the weight table, and folded to one row per text and model.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from evidentia.functions import text as tx
+from evidentia.functions import grams, text as tx
 from evidentia.session import durable
 
 GRAM_SIZES = (3, 4, 5)
@@ -60,30 +60,16 @@ class Models:
 # -- features --------------------------------------------------------------
 
 
-def char_ngrams(texts: DataFrame, keys: list[str], text: str = "text", sizes: tuple[int, ...] = GRAM_SIZES) -> DataFrame:
-    """One row per n-gram occurrence within space-padded words; sizes of two or more.
+def term_counts(texts: DataFrame, keys: list[str], text: str = "text", sizes: tuple[int, ...] = GRAM_SIZES) -> DataFrame:
+    """Occurrences of each n-gram of a key, over all its texts.
 
-    Two plain explodes and substrings, so the expansion stays in generated
-    code; nothing is shuffled here.
+    The texts are brought together by key, which moves nothing if they are
+    partitioned by it, and counted in a task; no n-gram is shuffled.
     """
-    words = texts.select(*keys, F.explode_outer(F.split(tx.mask_digits(F.col(text)), " ")).alias("word"))
-    padded = words.filter(F.col("word") != "").select(
-        *keys, F.concat(F.lit(" "), "word", F.lit(" ")).alias("p")
-    )
-    starts = padded.select(
-        *keys, "p", F.explode_outer(F.sequence(F.lit(1), F.greatest(F.length("p") - (min(sizes) - 1), F.lit(1)))).alias("i")
-    )
-    grams = [
-        F.when(F.col("i") + (n - 1) <= F.length("p"), F.substring(F.col("p"), F.col("i"), F.lit(n)))
-        for n in sizes
-    ]
-    return starts.select(*keys, F.explode(F.array(*grams)).alias("token")).filter(
-        F.col("token").isNotNull()
-    )
-
-
-def term_counts(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    return char_ngrams(texts, keys, text).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("tf"))
+    order = Window.partitionBy(*keys).orderBy(*keys)
+    rows = texts.select(*keys, (F.row_number().over(order) == 1).alias("first"), F.col(text).alias("text"))
+    schema = T.StructType([*texts.select(*keys).schema, T.StructField("token", T.StringType()), T.StructField("tf", T.LongType())])
+    return rows.withColumn("text", tx.mask_digits(F.col("text"))).mapInArrow(grams.counter(sizes), schema)
 
 
 def word_ngrams(texts: DataFrame, keys: list[str], text: str = "text", sizes: tuple[int, ...] = (1, 2)) -> DataFrame:
@@ -106,21 +92,22 @@ def word_ngrams(texts: DataFrame, keys: list[str], text: str = "text", sizes: tu
 
 def hybrid_counts(texts: DataFrame, keys: list[str], chars: tuple[int, ...] = (2, 3, 4, 5, 6), words: tuple[int, ...] = (1, 2), text: str = "text") -> DataFrame:
     """Term counts over character and word n-grams in one vocabulary: tokens are told apart by a prefix."""
-    c = char_ngrams(texts, keys, text, chars).withColumn("token", F.concat(F.lit("c:"), "token"))
-    w = word_ngrams(texts, keys, text, words).withColumn("token", F.concat(F.lit("w:"), "token"))
-    return c.unionByName(w).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("tf"))
+    c = term_counts(texts, keys, text, chars)
+    w = word_ngrams(texts, keys, text, words).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("tf"))
+    told = lambda counts, prefix: counts.withColumn("token", F.concat(F.lit(prefix), "token"))
+    return told(c, "c:").unionByName(told(w, "w:"))
 
 
-def document_frequencies(counts: DataFrame) -> DataFrame:
-    """Texts and occurrences per token; ``counts`` holds a text's token once."""
+def document_frequencies(counts: DataFrame, *sums: str) -> DataFrame:
+    """Texts and occurrences per token, and totals of the columns ``sums``; ``counts`` holds a text's token once."""
     return counts.groupBy("token").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("cf")
+        F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("cf"), *[F.sum(c).alias(c) for c in sums]
     )
 
 
-def vocabulary(counts: DataFrame, documents: int, min_df: int, max_features: int) -> DataFrame:
-    """Tokens in at least ``min_df`` texts, the ``max_features`` most frequent, with idf."""
-    frequent = durable(document_frequencies(counts).filter(F.col("df") >= min_df))
+def vocabulary(counts: DataFrame, documents: int, min_df: int, max_features: int, *sums: str) -> DataFrame:
+    """Tokens in at least ``min_df`` texts, the ``max_features`` most frequent, with idf and ``sums``."""
+    frequent = durable(document_frequencies(counts, *sums).filter(F.col("df") >= min_df))
     return most_frequent(frequent, max_features).withColumn("idf", F.log(F.lit(1.0 + documents) / (1.0 + F.col("df"))) + 1.0)
 
 
@@ -177,10 +164,9 @@ def sigmoid(score: Column) -> Column:
 def raw_scores(texts: DataFrame, keys: list[str], models: dict[str, Model], text: str = "text") -> DataFrame:
     """One row per text: an array ``<model>`` with the linear scores of a model.
 
-    All models share one expansion and one table of their tokens. n-grams that
-    no model knows go before the shuffle if that table is small enough to be
-    broadcast (its rows are counted); otherwise they are counted first and meet
-    it by key. Texts without a known token score the intercepts alone, so they
+    All models share one count of n-grams and one table of their tokens. n-grams
+    that no model knows go before the shuffle if that table is small enough to
+    be broadcast (its rows are counted). Texts without a known token score the intercepts alone, so they
     are kept by an outer join on the keys.
     """
     tables = [
@@ -194,10 +180,7 @@ def raw_scores(texts: DataFrame, keys: list[str], models: dict[str, Model], text
     weights = durable(weights)
     rows = weights.count()
     tokens, values = (beside(weights.select(c, "number"), rows) for c in ("token", "w"))
-    if rows <= BROADCAST_ROWS:
-        known = char_ngrams(texts, keys, text).join(tokens, "token").groupBy(*keys, "number").agg(F.count(F.lit(1)).alias("tf"))
-    else:
-        known = term_counts(texts, keys, text).join(tokens, "token").drop("token")
+    known = term_counts(texts, keys, text).join(tokens, "token").drop("token")
     known = known.join(values, "number").select(*keys, "tf", F.explode("w").alias("w"))
     value = sublinear(F.col("tf")) * F.col("w.idf")
     mine = lambda i, x: F.sum(F.when(F.col("w.model") == i, x))
