@@ -128,20 +128,10 @@ def propose_regions(
     )
     placed = words.select(*LINE, "text", "left", "top", "width", "height", *[c.alias(n) for n, c in sizes.items()])
     spans = label_spans(placed).withColumn("segment", tx.anchor_text(F.col("span_text")))
-    n = F.length("segment")
-    bound = policy.anchor_score
-    fitting = F.filter(
-        label_rows,
-        lambda l: (F.col("count") <= l["size"] + 1)
-        & (
-            F.contains(F.col("segment"), l["label"])
-            | (2 * F.least(n, F.length(l["label"])) >= bound * (n + F.length(l["label"])))
-        ),
-    )
-    pairs = spans.filter(n > 0).withColumn("l", F.explode(fitting))
-    held = F.contains("segment", F.col("l.label"))
-    near = similarity.pair_ratio(bound)(F.when(~held, F.col("segment")), F.col("l.label"))
-    scored = pairs.withColumn("quality", F.when(held, 1.0).otherwise(near)).filter(F.col("quality") >= bound)
+    match = similarity.label_matches([(l, n) for _, l, n, _ in labels], policy.anchor_score)
+    # explode_outer: plain explode would score every span a second time in a pushed-down filter
+    pairs = spans.select("*", F.explode_outer(match("segment", "count")).alias("m")).filter(F.col("m").isNotNull())
+    scored = pairs.withColumns({"l": F.get(label_rows, F.col("m.place")), "quality": F.col("m.quality")})
     best = scored.groupBy(*LINE, F.col("l.field").alias("field")).agg(
         F.max_by(
             F.struct("quality", "top", "right", "bottom", *sizes),

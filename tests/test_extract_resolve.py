@@ -1,9 +1,11 @@
 """Golden cases of extraction, resolution, decision and the pipeline order."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from evidentia import policy as fixed, schemas
+from evidentia.functions import similarity
 from evidentia.operators import decide, evaluate, extract, regions, resolve, textmodel as tm
 from evidentia.plans import adjudicate as plan
 from evidentia.policy import Policy
@@ -328,3 +330,16 @@ def test_rows_without_a_score_keep_their_place(spark):
     df = spark.createDataFrame([(1, 0.5), (2, None), (3, 0.9)], "id int, s double")
     got = {r.id: r.p for r in rank.average_rank(df, "s", "p").collect()}
     assert got == {1: 0.5, 2: None, 3: 1.0}
+
+
+def test_label_matches_score_a_run_once_per_task(monkeypatch):
+    labels, calls = [("fee status", 2), ("home world", 2)], []
+    plain = similarity.make_ratio()
+    monkeypatch.setattr(similarity, "make_ratio", lambda: lambda *a: calls.append(a) or plain(*a))
+    match = similarity.label_matches(labels, 0.8).func
+    runs = pd.Series(["fee statu5", "", "the fee status", "zzzzzzzzzz", "fee statu5"])
+    batches = [(runs, pd.Series([2, 1, 3, 1, 4]))] * 3
+    got = [list(out) for out in match(iter(batches))]
+    assert got[0] == got[1] == got[2]
+    assert got[0] == [[{"place": 0, "quality": 0.9}], None, [{"place": 0, "quality": 1.0}], None, None]
+    assert len(calls) == len(set(calls))
