@@ -7,6 +7,8 @@ import pytest
 
 from evidentia.functions import grams
 from evidentia.operators import textmodel as tm
+from evidentia.plans.catalog import model
+from evidentia.session import durable
 
 
 def plain(texts, sizes):
@@ -49,3 +51,11 @@ def test_no_ngram_is_shuffled(spark):
     assert plan.count("Exchange") == 1 and "Generate" not in plan
     got = {(r.id, r.token): r.tf for r in counted.collect()}
     assert got[1, " ab "] == 2 and got[1, " ##"] == 1 and got[3, " c "] == 1 and {k for k, _ in got} == {1, 3}
+
+
+def test_share_model_stores_no_counts_of_documents(spark, monkeypatch):
+    stored = []
+    for module in (tm, model):
+        monkeypatch.setattr(module, "durable", lambda df: stored.append(df.columns) or durable(df))
+    assert model.share_model(spark, "/root/testdata/sf0.001").weights.count()
+    assert stored and not any("doc_id" in columns for columns in stored)
