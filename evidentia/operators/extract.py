@@ -197,9 +197,9 @@ def approximate_applicants(readings: DataFrame, text: Column, policy: Policy = D
     Conflict evidence only. The words are judged by similarity, so all words
     of plausible length go through the scoring UDF as one array per text.
     """
-    words = F.regexp_replace(
-        F.regexp_replace(text, tx.LINE_BREAK, "\n"), "[^A-Za-z'\n-]+", " "
-    )
+    # all but letters, apostrophe, hyphen and line feed; the negated class takes ten times as long
+    other = r"[\x00-\x09\x0b-\x26\x28-\x2c\x2e-\x40\x5b-\x60\x7b-\x{10ffff}]+"
+    words = F.regexp_replace(F.regexp_replace(text, tx.LINE_BREAK, "\n"), other, " ")
     # A word can be that similar only if at most three of its letters are not
     # letters of the label (matched letters must occur in both).
     near = "(?=(?i:[aplicnt]*+(?:[a-z'-][aplicnt]*+){0,3}) )"
@@ -223,22 +223,55 @@ def category_hits(text: Column, kind: Column, policy: Policy = DEFAULT) -> dict[
 
     Purposes are ordinary words, so they count only on intake and sponsor pages.
     """
-    padded = F.concat(F.lit(" "), tx.anchor_text(text), F.lit(" "))
+    nothing = F.array().cast("array<string>")
     out = {}
     for name, options in policy.vocabulary.items():
-        listed = F.array(*[F.struct(F.lit(f" {_anchor(o)} ").alias("key"), F.lit(o).alias("value")) for o in options])
-        hits = F.transform(
-            F.filter(F.transform(F.array(padded), lambda p: F.filter(listed, lambda o: F.contains(p, o["key"])))[0], lambda o: o.isNotNull()),
-            lambda o: o["value"],
-        )
-        if name == "declared_purpose":
-            hits = F.when(kind.isin("intake", "sponsor"), hits).otherwise(
-                F.array().cast("array<string>")
-            )
-        out[name] = hits
+        listed = lambda p, options=options: F.array(*[F.when(F.contains(p, F.lit(f" {_anchor(o)} ")), F.lit(o)) for o in options])
+        hits = F.array_compact(F.transform(F.array(padded(text)), lambda p: listed(p))[0])
+        out[name] = F.when(kind.isin("intake", "sponsor"), hits).otherwise(nothing) if name == "declared_purpose" else hits
+    return out
+
+
+def padded(text: Column) -> Column:
+    """Folded words between single spaces, so that whole words are found as plain text."""
+    return F.concat(F.lit(" "), tx.anchor_text(text), F.lit(" "))
+
+
+def category_masks(words: Column, kind: Column, policy: Policy = DEFAULT) -> dict[str, Column]:
+    """Per field the values contained in ``padded`` words as a bit set; bits follow the sorted values.
+
+    Bit sets of a case are folded with ``bit_or``, whatever the number of its readings.
+    ``words`` should be a column of its own, as every value looks at it.
+    """
+    out = {}
+    for name, options in policy.vocabulary.items():
+        mask = F.lit(0).cast("long")
+        for i, option in enumerate(sorted(options)):
+            mask = mask + F.when(F.contains(words, F.lit(f" {_anchor(option)} ")), F.lit(1 << i)).otherwise(F.lit(0))
+        out[name] = F.when(kind.isin("intake", "sponsor"), mask).otherwise(F.lit(0)) if name == "declared_purpose" else mask
     return out
 
 
+def categories_of_mask(name: str, mask: Column, policy: Policy = DEFAULT) -> Column:
+    """The values of a field's bit set."""
+    values = sorted(policy.vocabulary[name])
+    return F.array_compact(F.array(*[F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.lit(o)) for i, o in enumerate(values)]))
+
+
+def category_summary(masks: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
+    """(case_id, field, first_value, hits, only_value) of ``category_masks`` by case; fields without a hit give no row."""
+    names = list(policy.vocabulary)
+    folded = masks.groupBy("case_id").agg(*[F.bit_or(n).alias(n) for n in names])
+    rows = folded.unpivot(["case_id"], names, "field", "mask").filter(F.col("mask") != 0)
+    values = F.create_map(*[x for n in names for x in (F.lit(n), F.array(*[F.lit(o) for o in sorted(policy.vocabulary[n])]))])
+    # the bits below the lowest one set number its place
+    lowest = F.bit_count(F.col("mask").bitwiseAND(-F.col("mask")) - 1)
+    first, hits = F.get(F.element_at(values, F.col("field")), lowest), F.bit_count("mask").cast("long")
+    return rows.select(
+        "case_id", "field", first.alias("first_value"), hits.alias("hits"), F.when(hits == 1, first).otherwise("").alias("only_value")
+    )
+
+
 def adverse_flags(text: Column, policy: Policy = DEFAULT) -> Column:
     """Flags outside lines that carry instruction words, joined by '|'."""
     words = "|".join(fixed.INSTRUCTION_WORDS)
@@ -310,7 +343,9 @@ def read_labels(readings: DataFrame, policy: Policy = DEFAULT, fuzzy: bool = Tru
     ).withColumn("folded_rows", tx.casefold(F.col("rows")))
     page = page.withColumns(
         {
-            "row_array": F.split("rows", "\n"),
+            # a lambda keeps these many readers out of whole-stage code, where they
+            # would be one method, too long for the JVM to compile
+            "row_array": F.filter(F.split("rows", "\n"), lambda line: line != ""),
             **{
                 f"label_{n}": having(literal, tx.extract_label(text, F.col("rows"), pattern))
                 for n, (pattern, literal) in _LABELS.items()
@@ -455,14 +490,14 @@ def facts(
     """
     text, kind = F.col("text"), F.col("kind")
     native = F.col("channel") == "native"
-    page = read_labels(readings, policy, fuzzy)
+    page = read_labels(readings, policy, fuzzy).withColumn("words", padded(text))
     page = page.withColumns(
         {
             **{f"attested_{n}": having("attests", v) for n, v in attestation(text, policy).items()},
             **{f"corrected_{n}": having("manual", v) for n, v in manual_corrections(text).items()},
             "fee": F.when(F.contains("folded", F.lit("fee")), fn.anchored_fee(text, policy, fuzzy)).otherwise(F.lit("")),
             "adverse": adverse_flags(text, policy),
-            **{f"hits_{n}": v for n, v in category_hits(text, kind, policy).items()},
+            **{f"mask_{n}": v for n, v in category_masks(F.col("words"), kind, policy).items()},
             "manual": having("finding", manual_finding(text)),
             "calm": clean_biometrics(text),
         }
@@ -506,7 +541,7 @@ def facts(
     )
     nothing = F.array().cast("array<string>")
     listed = [
-        _facts_of_array(f"category:{n}", F.col(f"hits_{n}")) for n in policy.vocabulary
+        _facts_of_array(f"category:{n}", categories_of_mask(n, F.col(f"mask_{n}"), policy)) for n in policy.vocabulary
     ]
     listed.append(_facts_of_array("iso_date", fn.iso_dates(text, policy)))
     listed.append(

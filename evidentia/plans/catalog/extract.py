@@ -153,18 +153,9 @@ def _category_sql() -> str:
 )
 def category_containment(spark, folder):
     read = src.readings(spark, folder).withColumn("kind", op.page_kind(F.col("text")))
-    hits = op.category_hits(F.col("text"), F.col("kind"))
-    read = read.select("case_id", *[v.alias(n) for n, v in hits.items()])
-    long = read.unpivot(["case_id"], list(hits), "field", "values")
-    rows = long.select("case_id", "field", F.explode_outer("values").alias("value")).filter(
-        F.col("value").isNotNull()
-    )
-    # vocabularies are closed, so the distinct values per case are bounded
-    return rows.groupBy("case_id", "field").agg(
-        F.min("value").alias("first_value"),
-        F.size(F.collect_set("value")).cast("long").alias("hits"),
-        F.coalesce(resolve.singleton("value"), F.lit("")).alias("only_value"),
-    )
+    read = read.select("case_id", "kind", op.padded(F.col("text")).alias("words"))
+    masks = op.category_masks(F.col("words"), F.col("kind"))
+    return op.category_summary(read.select("case_id", *[v.alias(n) for n, v in masks.items()]))
 
 
 @catalog.add(
