@@ -53,3 +53,23 @@ def test_long_projections_stay_out_of_whole_stage_code(spark):
             assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text))) < 8000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_window_scores_are_remembered_across_batches(spark, monkeypatch):
+    """A window of a later batch is not scored again, and one without the letters of an option never is."""
+    import pandas as pd
+
+    from evidentia.functions import similarity
+
+    asked, plain = [], similarity.make_ratio()
+
+    def ratio(a, b, floor=0.0):
+        asked.append((a, b))
+        return plain(a, b, floor)
+
+    monkeypatch.setattr(similarity, "make_ratio", lambda: ratio)
+    score = similarity.window_scores({"Luna": "luna", "Venus": "venus"}, 0.75).func
+    batches = [pd.Series([["luma", "xxxx"], None]), pd.Series([["luma", "venus"]])]
+    found = [list(b) for b in score(iter(batches))]
+    assert found == [[[0.75, 0.0], None], [[0.75, 1.0]]]
+    assert asked == [("luma", "luna"), ("venus", "venus")]
