@@ -13,6 +13,7 @@ from evidentia.functions.text import (
     normalize_space,
     raw_lines,
     rows_text,
+    word,
 )
 from evidentia.policy import DEFAULT, Policy
 
@@ -56,20 +57,20 @@ def is_calendar_date(c: Column) -> Column:
 def clean_date(c: Column) -> Column:
     """The first date-shaped text, if it names a day of the calendar."""
     iso = F.replace(
-        _first_group(c, r"(?U)\b(20\d{2}[-/]\d{2}[-/]\d{2})\b"), F.lit("/"), F.lit("-")
+        _first_group(c, r"(?=2)(?U)\b(20\d{2}[-/]\d{2}[-/]\d{2})\b"), F.lit("/"), F.lit("-")
     )
     return F.when((iso != "") & is_calendar_date(iso), iso).otherwise(F.lit(""))
 
 
 def clean_sponsor(c: Column) -> Column:
-    digits = _first_group(F.upper(c), r"(?U)\bSPN[- ]?(\d{4})\b")
+    digits = _first_group(F.upper(c), r"(?=S)(?U)\bSPN[- ]?(\d{4})\b")
     return F.when(digits != "", F.concat(F.lit("SPN-"), digits)).otherwise(F.lit(""))
 
 
 def repaired_sponsors(c: Column) -> Column:
     """All sponsor ids of a text with look-alike letters read as digits."""
     raw = F.regexp_extract_all(
-        F.upper(c), F.lit(rf"(?U)\bSPN[- ]?([0-9{fixed.GLYPHS_READ}]{{4}})\b"), F.lit(1)
+        F.upper(c), F.lit(rf"(?=S)(?U)\bSPN[- ]?([0-9{fixed.GLYPHS_READ}]{{4}})\b"), F.lit(1)
     )
     return F.transform(
         raw,
@@ -112,7 +113,7 @@ def flags_of_mask(mask: Column, policy: Policy = DEFAULT) -> Column:
 def exact_flags(c: Column, policy: Policy = DEFAULT) -> Column:
     """Contained flags, else 'none' for an explicit none/clear, else ''."""
     found = F.nullif(contained_flags(underscored(c), policy), F.lit(""))
-    clear = F.when(c.rlike(r"(?iU)\bnone\b|\bclear\b"), F.lit("none"))
+    clear = F.when(c.rlike(word("nc", r"(?:none|clear)\b")), F.lit("none"))
     return F.coalesce(found, clear, F.lit(""))
 
 
@@ -148,13 +149,13 @@ def fee_anchored(c: Column) -> Column:
 
 
 def exact_fee(c: Column) -> Column:
-    return F.lower(_first_group(c, rf"(?iU)\b({'|'.join(fixed.FEE_STATES)})\b"))
+    return F.lower(_first_group(c, word("".join({s[0]: s for s in fixed.FEE_STATES}), rf"({'|'.join(fixed.FEE_STATES)})\b")))
 
 
 def damaged_fee(c: Column) -> Column:
     """The word printed after the fee label; NULL when absent or 'unknown'."""
-    word = F.lower(_first_group(c, r"(?iU)\bfee status\s*[:.=-]?\s*([a-z]{3,12})"))
-    return F.when((word != "") & (word != "unknown"), word)
+    said = F.lower(_first_group(c, word("f", r"fee status\s*[:.=-]?\s*([a-z]{3,12})")))
+    return F.when((said != "") & (said != "unknown"), said)
 
 
 def paid_amount(c: Column) -> Column:
@@ -183,7 +184,7 @@ def visa_token(raw: Column) -> Column:
 
 
 def find_visa(c: Column) -> Column:
-    return visa_token(_first_group(c, rf"(?iU)\b({fixed.VISA_PATTERN})\b"))
+    return visa_token(_first_group(c, word("xdmt", rf"({fixed.VISA_PATTERN})\b")))
 
 
 def output_visa(c: Column) -> Column:
@@ -196,7 +197,7 @@ def finding_token(raw: Column) -> Column:
 
 
 def find_finding(c: Column) -> Column:
-    return finding_token(_first_group(c, rf"(?iU)\b({fixed.FINDING_PATTERN})\b"))
+    return finding_token(_first_group(c, word("adn", rf"({fixed.FINDING_PATTERN})\b")))
 
 
 def exact_enum(c: Column, choices: tuple[str, ...]) -> Column:
@@ -211,7 +212,7 @@ def exact_enum(c: Column, choices: tuple[str, ...]) -> Column:
 def iso_dates(c: Column, policy: Policy = DEFAULT) -> Column:
     """All valid dates of the receipt year and the year before."""
     year = policy.receipt_date.year
-    found = F.regexp_extract_all(c, F.lit(r"(?U)\b20\d{2}-\d{2}-\d{2}\b"), F.lit(0))
+    found = F.regexp_extract_all(c, F.lit(r"(?=2)(?U)\b20\d{2}-\d{2}-\d{2}\b"), F.lit(0))
     return F.filter(
         found,
         lambda d: is_calendar_date(d) & F.substring(d, 1, 4).isin(str(year - 1), str(year)),
@@ -223,7 +224,7 @@ def damaged_dates(c: Column, policy: Policy = DEFAULT) -> Column:
     misread, year = policy.misread_year
     misread_month, month = policy.misread_month
     lines = F.filter(
-        raw_lines(c), lambda line: line.rlike(r"(?iU)\ba[a-z]{2,12}\s+d[a-z]{2,6}\b")
+        raw_lines(c), lambda line: line.rlike(word("a", r"a[a-z]{2,12}\s+d[a-z]{2,6}\b"))
     )
     raw = F.flatten(
         F.transform(

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from evidentia.functions import text as tx
 from evidentia.operators import extract
 from evidentia.plans import bindings as src
 from evidentia.plans.catalog import extract as queries
@@ -73,3 +74,40 @@ def test_window_scores_are_remembered_across_batches(spark, monkeypatch):
     found = [list(b) for b in score(iter(batches))]
     assert found == [[[0.75, 0.0], None], [[0.75, 1.0]]]
     assert asked == [("luma", "luna"), ("venus", "venus")]
+
+
+def test_page_kind_is_compiled(spark):
+    """No lambda: its markers would be looked up by interpreted code."""
+    rows = spark.createDataFrame(
+        [("Fee Receipt amount",), ("B-13",), ("registry",), ("fee status registry registered amount",), ("",), (None,)], "text string"
+    )
+    found = rows.select(extract.page_kind(F.col("text")).alias("kind"))
+    assert "lambda" not in plan(found)
+    assert [r.kind for r in found.collect()] == ["fee", "biometric", "other", "fee", "other", "other"]
+
+
+def test_starts_of_words_are_looked_for_by_letter(spark):
+    """The slow test for the start of a word runs only where a letter fits, in any case and script."""
+    texts = ["Sponsor: Ann", "ſPONSOR: Bo", "éSponsor: no", "_sponsor: no", "-sponsor: Cy", "Rısk Flag: x", "Flag: y"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    found = rows.select("i", tx.label_inline(F.col("text"), "Sponsor").alias("s"), tx.label_inline(F.col("text"), "(?:Risk )?Flag").alias("f"))
+    assert "(?=[Ssſ])" in plan(found)
+    got = {r.i: r.s or r.f for r in found.collect()}
+    assert got == {0: "Ann", 1: "Bo", 2: "", 3: "", 4: "Cy", 5: "x", 6: "y"}
+
+
+def test_rows_of_plain_and_other_texts(values, spark):
+    """ASCII texts take a shorter way to the same rows."""
+    plain = " a  b\r\n\r\n c\td \x1c\x0be\x1f f \n "
+    assert values(tx.rows_text, [plain, "é" + plain, "", "\n \t"]) == ["a b\nc d\ne f", "é a b\nc d\ne f", "", ""]
+    shown = plan(spark.createDataFrame([("a",)], "text string").select(tx.rows_text(F.col("text"))))
+    assert "octet_length" in shown
+
+
+def test_lines_are_split_only_where_a_flag_is(values, spark):
+    texts = ["barcode biohazard_red\nactive warrant", "no\nflag", "ignore identity-conflict", None]
+    assert values(extract.adverse_flags, texts) == ["active_warrant", "", "", None]
+    calm = ["Observed Flags: none", "risk  flags -- NONE", "flags observed none", "none", None]
+    assert values(extract.clean_biometrics, calm) == [True, True, False, False, None]
+    shown = plan(spark.createDataFrame([("a",)], "text string").select(extract.clean_biometrics(F.col("text")).alias("x")))
+    assert shown.count("regexp_replace") == 1
