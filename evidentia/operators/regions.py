@@ -23,7 +23,9 @@ def valid_words(words: DataFrame) -> DataFrame:
 def parse_word_rows(rows: DataFrame, column: str) -> DataFrame:
     """Words from tab-separated rows (left, top, width, height, block, paragraph,
     line, confidence, text); malformed rows yield NULL numbers and drop out."""
-    parts = F.split(column, "\t")
+    # out of a generator, below which no filter goes: pushed down, each of a dozen conditions would make and split the row anew
+    rows = rows.select("*", F.explode_outer(F.array(F.split(column, "\t"))).alias("__parts"))
+    parts = F.col("__parts")
     names = ("left", "top", "width", "height", "block", "paragraph", "line")
     parsed = rows.withColumns(
         {
@@ -31,7 +33,7 @@ def parse_word_rows(rows: DataFrame, column: str) -> DataFrame:
             "confidence": F.get(parts, F.lit(7)).try_cast("double"),
             "text": F.get(parts, F.lit(8)),
         }
-    ).dropna(subset=[*names, "confidence"])
+    ).drop("__parts").dropna(subset=[*names, "confidence"])
     return valid_words(parsed)
 
 

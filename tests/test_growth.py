@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from evidentia.functions import text as tx
-from evidentia.operators import extract
+from evidentia.operators import extract, regions
 from evidentia.plans import bindings as src
 from evidentia.plans.catalog import extract as queries
 
@@ -111,3 +111,11 @@ def test_lines_are_split_only_where_a_flag_is(values, spark):
     assert values(extract.clean_biometrics, calm) == [True, True, False, False, None]
     shown = plan(spark.createDataFrame([("a",)], "text string").select(extract.clean_biometrics(F.col("text")).alias("x")))
     assert shown.count("regexp_replace") == 1
+
+
+def test_word_rows_are_split_once(spark):
+    lines = ["1\t2\t3\t4\t5\t6\t7\t90\tword", "?\t2\t3\t4\t5\t6\t7\t90\tword", "1\t2", None]
+    rows = spark.createDataFrame([(t,) for t in lines], "row string")
+    found = regions.parse_word_rows(rows, "row")
+    assert [(r.row, r.left, r.text) for r in found.collect()] == [(lines[0], 1, "word")]
+    assert plan(found).count("split(") == 1
